@@ -33,7 +33,7 @@ from martloom.plans.incremental import (
 from martloom.plans.mart import Mart
 from martloom.operators.quality import status_summary
 from martloom.schemas import STAGING
-from martloom.session import configure, scratch_path
+from martloom.session import configure, folder_bytes, scratch_path, size_shuffles
 from martloom.sources.csv_feeds import load_csv, load_feed, type_timestamps
 from martloom.sources.driver_tables import driver_feeds, driver_reader, order_items, sellers_feed
 from martloom.sources.tables import Warehouse
@@ -57,6 +57,7 @@ def mart(spark: SparkSession, sf_dir: str) -> Mart:
     """The warehouse over a folder of driver tables, shared by the queries of a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
+        size_shuffles(spark, folder_bytes(spark, sf_dir))
         _marts[key] = Mart(configure(spark), driver_feeds(spark, sf_dir), SELLERS_EFFECTIVE)
     return _marts[key]
 
@@ -494,7 +495,7 @@ def _rehearsal(m: Mart) -> tuple[Warehouse, datetime]:
     unknown_items = unmatched(m.feeds["order_items"], orders, {"order_id": "order_id"})
     first = m.new_order_items_plan(orders.where(known)).unionByName(m.fact_order_items_plan(unknown_items))
     warehouse.append(first, "mart", table, 1)
-    control.record(table, mark, warehouse.read_appended("mart", table).count(), LOADED_AT, 1)
+    control.record(table, mark, warehouse.read("mart", table).count(), LOADED_AT, 1)
     incremental_load(warehouse, table, orders, MOMENT, m.new_order_items_plan, facts.ITEM_KEYS, LOADED_AT)
     return warehouse, mark
 
@@ -513,7 +514,7 @@ def incremental_undated(m: Mart) -> DataFrame:
 @query
 def incremental_loaded(m: Mart) -> DataFrame:
     warehouse, _ = _rehearsal(m)
-    return warehouse.read_appended("mart", "fact_order_items")
+    return warehouse.read("mart", "fact_order_items")
 
 
 @query
@@ -531,7 +532,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = order_items(lambda table: file_stream(spark, f"{sf_dir}/{table}*.parquet", schema))
     warehouse = Warehouse(spark, scratch_path(spark, "stream"))
     stream_fact(items, m.fact_order_items_plan, warehouse, "fact_order_items", scratch_path(spark, "stream-progress"))
-    return warehouse.read_appended("mart", "fact_order_items").drop("load_batch")
+    return warehouse.read("mart", "fact_order_items").drop("load_batch")
 
 
 # --- CSV feeds, from CSV files that Spark first writes from the given tables ------------------

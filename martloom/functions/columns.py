@@ -30,6 +30,11 @@ def date_key_or_unknown(moment: Column) -> Column:
     return F.coalesce(date_key(moment), F.lit(UNKNOWN_KEY))
 
 
+def month_key(day_key: Column) -> Column:
+    """yyyymm of a yyyymmdd key; the unknown day stays -1."""
+    return F.when(day_key > 0, F.floor(day_key / 100).cast("int")).otherwise(day_key)
+
+
 def days_between(start: Column, end: Column) -> Column:
     """Midnights crossed going from ``start`` to ``end``."""
     return F.datediff(end, start)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import UNKNOWN_KEY
@@ -58,20 +58,28 @@ def require_unique(rows: DataFrame, keys: Sequence[str], table: str) -> DataFram
     return rows
 
 
-def unmatched(rows: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Rows (NULL keys included) whose key does not occur in ``other``."""
+def unmatched(rows: DataFrame, other: DataFrame, on: Mapping[str, str], other_unique: bool = False) -> DataFrame:
+    """Rows (NULL keys included) whose key does not occur in ``other``.
+
+    Unless the keys of ``other`` are known to be unique they are made so first: an anti join
+    can split a hot key on its left side only, so one on the right must not stay large.
+    """
     right = other.select(*[F.col(o).alias(f"_other_{o}") for o in on.values()])
+    if not other_unique:
+        right = right.distinct()
     return rows.join(right, [rows[r] == right[f"_other_{o}"] for r, o in on.items()], "left_anti")
 
 
-def count_unmatched(rows: DataFrame, other: DataFrame, on: Mapping[str, str], name: str = "rows") -> DataFrame:
+def count_unmatched(
+    rows: DataFrame, other: DataFrame, on: Mapping[str, str], name: str = "rows", other_unique: bool = False
+) -> DataFrame:
     """Number of rows without a match.
 
     Counts per key first: a key holding a third of the rows crosses the shuffle as one row.
     """
     per_key = rows.groupBy(*on).agg(F.count("*").alias("_n"))
     total = F.coalesce(F.sum("_n"), F.lit(0).cast("bigint"))
-    return unmatched(per_key, other, on).agg(total.alias(name))
+    return unmatched(per_key, other, on, other_unique).agg(total.alias(name))
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
@@ -80,7 +88,5 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[
     Spark prunes to one row per key inside each input partition before the shuffle
     (window group limit), so a hot key does not end up whole in one task.
     """
-    from pyspark.sql import Window
-
     window = Window.partitionBy(*keys).orderBy(*newest_first)
     return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")

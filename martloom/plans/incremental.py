@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from martloom.sources.tables import Warehouse
 
-CONTROL_SCHEMA = "table_name string, last_watermark timestamp_ntz, last_load_time timestamp_ntz, rows_last_loaded bigint"
-
-
 @dataclass(frozen=True)
 class LoadState:
     watermark: datetime | None
+    loaded_at: datetime | None
+    rows: int
     batch: int
 
 
@@ -35,21 +34,23 @@ class LoadControl:
 
     def current(self) -> DataFrame | None:
         """The state of every table, or None before the first load."""
-        log = self.warehouse.read_appended(self.LAYER, self.TABLE)
-        if log is None:
+        if not self.warehouse.exists(self.LAYER, self.TABLE):
             return None
+        log = self.warehouse.read(self.LAYER, self.TABLE)
         newest = F.max_by(F.struct("last_watermark", "last_load_time", "rows_last_loaded", "data_batch"), "load_batch")
         return log.groupBy("table_name").agg(newest.alias("s"), F.max("load_batch").alias("load_batch")).select("table_name", "s.*", "load_batch")
 
     def state(self, table: str) -> LoadState:
         current = self.current()
         row = None if current is None else current.where(F.col("table_name") == table).first()
-        return LoadState(None, 0) if row is None else LoadState(row["last_watermark"], row["data_batch"])
+        if row is None:
+            return LoadState(None, None, 0, 0)
+        return LoadState(row["last_watermark"], row["last_load_time"], row["rows_last_loaded"], row["data_batch"])
 
-    def record(self, table: str, watermark: datetime | None, rows: int, loaded_at: datetime, batch: int) -> None:
+    def record(self, table: str, watermark: datetime | None, rows: int, loaded_at: datetime | None, batch: int) -> None:
         current = self.current()
         last = 0 if current is None else (current.agg(F.max("load_batch")).first()[0] or 0)
-        row = self.warehouse.spark.range(1).select(
+        row = self.warehouse.spark.range(0, 1, 1, 1).select(
             F.lit(table).alias("table_name"),
             F.lit(watermark).cast("timestamp_ntz").alias("last_watermark"),
             F.lit(loaded_at).cast("timestamp_ntz").alias("last_load_time"),
@@ -58,11 +59,11 @@ class LoadControl:
         )
         self.warehouse.append(row, self.LAYER, self.TABLE, last + 1)
 
-    def roll_back(self, table: str, days: int, at: datetime) -> None:
-        """Move a table's mark back, so that the next load revisits that period."""
+    def roll_back(self, table: str, days: int) -> None:
+        """Move only a table's mark back, so that the next load revisits that period."""
         state = self.state(table)
         if state.watermark is not None:
-            self.record(table, state.watermark - timedelta(days=days), 0, at, state.batch)
+            self.record(table, state.watermark - timedelta(days=days), state.rows, state.loaded_at, state.batch)
 
 
 def newest_moment(source: DataFrame, moment: str) -> datetime | None:
@@ -101,6 +102,7 @@ def incremental_load(
     loaded_at: datetime,
     lookback: timedelta = timedelta(0),
     dedup: bool = True,
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Append the fact rows of all ``source`` rows newer than the table's mark; returns their number.
 
@@ -112,11 +114,11 @@ def incremental_load(
     state = control.state(table)
     batch = state.batch + 1
     rows = build(newer_than(source, moment, state.watermark, lookback))
-    loaded = warehouse.read_appended("mart", table)
-    if dedup and loaded is not None:
-        rows = not_yet_loaded(rows, loaded.where(F.col("load_batch") < batch), keys)
-    warehouse.append(rows, "mart", table, batch)
-    count = warehouse.read_appended("mart", table).where(F.col("load_batch") == batch).count()
+    if dedup and warehouse.exists("mart", table):
+        loaded = warehouse.read("mart", table).where(F.col("load_batch") < batch)
+        rows = not_yet_loaded(rows, loaded, keys)
+    warehouse.append(rows, "mart", table, batch, partition_by)
+    count = warehouse.read("mart", table).where(F.col("load_batch") == batch).count()
     control.record(table, newest_moment(source, moment) or state.watermark, count, loaded_at, batch)
     return count
 

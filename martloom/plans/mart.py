@@ -20,6 +20,20 @@ LOOKUP_KEYS = {
     "category_translation": ["product_category_name"],
 }
 
+ALL_TABLES = (
+    "dim_date",
+    "dim_order_status",
+    "dim_product",
+    "dim_customer",
+    "dim_geography",
+    "dim_seller",
+    "fact_order_items",
+    "fact_payments",
+    "fact_delivery_reviews",
+    "rfm_base",
+    "dim_customer_segmented",
+)
+
 
 class Mart:
     """Dimensions and facts over one set of feeds.
@@ -33,10 +47,23 @@ class Mart:
         self.feeds = feeds
         self.effective = effective
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table down once; a subclass may choose where."""
+        return stage(df, name)
+
+    def keep_dimension(self, df: DataFrame, name: str) -> DataFrame:
+        """Dimensions are already written down when their keys are numbered."""
+        return df
+
     def check_feeds(self) -> None:
         for feed, keys in LOOKUP_KEYS.items():
             require_unique(self.feeds[feed], keys, feed)
 
+    def build_all(self) -> None:
+        """Compute every table, dimensions first."""
+        for name in ALL_TABLES:
+            getattr(self, name)
+
     @cached_property
     def dim_date(self) -> DataFrame:
         bounds = dimensions.calendar_bounds(
@@ -45,27 +72,28 @@ class Mart:
                 (self.feeds["order_reviews"], "review_creation_date"),
             ]
         )
-        return stage(dimensions.dim_date(bounds), "dim_date")
+        return self.keep(dimensions.dim_date(bounds), "dim_date")
 
     @cached_property
     def dim_order_status(self) -> DataFrame:
-        return dimensions.dim_order_status(self.feeds["orders"])
+        return self.keep_dimension(dimensions.dim_order_status(self.feeds["orders"]), "dim_order_status")
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dimensions.dim_product(self.feeds["products"], self.feeds["category_translation"])
+        products = dimensions.dim_product(self.feeds["products"], self.feeds["category_translation"])
+        return self.keep_dimension(products, "dim_product")
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return dimensions.dim_customer(self.feeds["customers"])
+        return self.keep_dimension(dimensions.dim_customer(self.feeds["customers"]), "dim_customer")
 
     @cached_property
     def dim_geography(self) -> DataFrame:
-        return dimensions.dim_geography(self.feeds["geolocation"])
+        return self.keep_dimension(dimensions.dim_geography(self.feeds["geolocation"]), "dim_geography")
 
     @cached_property
     def dim_seller(self) -> DataFrame:
-        return dimensions.dim_seller(self.feeds["sellers"], self.effective)
+        return self.keep_dimension(dimensions.dim_seller(self.feeds["sellers"], self.effective), "dim_seller")
 
     @property
     def dims(self) -> dict[str, DataFrame]:
@@ -98,15 +126,15 @@ class Mart:
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return stage(self.fact_order_items_plan(), "fact_order_items")
+        return self.keep(self.fact_order_items_plan(), "fact_order_items")
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return stage(self.fact_payments_plan(), "fact_payments")
+        return self.keep(self.fact_payments_plan(), "fact_payments")
 
     @cached_property
     def fact_delivery_reviews(self) -> DataFrame:
-        return stage(self.fact_delivery_reviews_plan(), "fact_delivery_reviews")
+        return self.keep(self.fact_delivery_reviews_plan(), "fact_delivery_reviews")
 
     def rfm_base_plan(self) -> DataFrame:
         return rfm.rfm_base(
@@ -115,7 +143,7 @@ class Mart:
 
     @cached_property
     def rfm_base(self) -> DataFrame:
-        return stage(self.rfm_base_plan(), "rfm_base")
+        return self.keep(self.rfm_base_plan(), "rfm_base")
 
     @cached_property
     def rfm_scores(self) -> DataFrame:
@@ -127,4 +155,4 @@ class Mart:
 
     @cached_property
     def dim_customer_segmented(self) -> DataFrame:
-        return stage(rfm.with_segments(self.dim_customer, self.rfm_segments), "dim_customer_segmented")
+        return self.keep(rfm.with_segments(self.dim_customer, self.rfm_segments), "dim_customer_segmented")

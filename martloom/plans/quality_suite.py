@@ -79,7 +79,7 @@ def _equal(check_id: int, name: str, expected: str, actual: str) -> Check:
 
 def _resolves(check_id: int, fact: DataFrame, key: str, dim: DataFrame):
     name = f"fact_order_items {key} valid"
-    return count_unmatched(fact, dim, {key: key}, "found"), [none_found(check_id, INTEGRITY, name, "found")]
+    return count_unmatched(fact, dim, {key: key}, "found", other_unique=True), [none_found(check_id, INTEGRITY, name, "found")]
 
 
 def _unique(check_id: int, name: str, rows: DataFrame, key: str):
@@ -148,7 +148,7 @@ def dangling_keys(mart: Mart) -> DataFrame:
         "pay_bad_date": (payments, "date_sk", mart.dim_date),
     }
     rows = [
-        count_unmatched(fact, dim, {key: key}, "value").select(F.lit(name).alias("item"), "value")
+        count_unmatched(fact, dim, {key: key}, "value", other_unique=True).select(F.lit(name).alias("item"), "value")
         for name, (fact, key, dim) in counts.items()
     ]
     return reduce(DataFrame.unionByName, rows)

@@ -87,3 +87,16 @@ FEED_KEYS = {
     "sellers": ("seller_id",),
     "category_translation": ("product_category_name",),
 }
+
+# Text columns by which feeds are joined, for sources whose keys differ in case or padding.
+JOIN_COLUMNS = {
+    "customers": ("customer_id", "customer_unique_id", "customer_zip_code_prefix"),
+    "geolocation": ("geolocation_zip_code_prefix",),
+    "orders": ("order_id", "customer_id", "order_status"),
+    "order_items": ("order_id", "product_id", "seller_id"),
+    "order_payments": ("order_id",),
+    "order_reviews": ("review_id", "order_id"),
+    "products": ("product_id", "product_category_name"),
+    "sellers": ("seller_id",),
+    "category_translation": ("product_category_name",),
+}

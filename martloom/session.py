@@ -16,6 +16,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# One shuffle partition per this much input, so that a partition and its sort fit in a task's
+# memory; AQE merges the ones that turn out small. The upper bound keeps the driver's
+# bookkeeping of map outputs in check.
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -25,6 +31,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to suit the input; a larger setting is kept."""
+    wanted = min(-(-input_bytes // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

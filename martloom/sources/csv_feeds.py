@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.columns import try_timestamp
-from martloom.schemas import STAGING, TIMESTAMP_COLUMNS
+from martloom.functions.columns import fold_case, try_timestamp
+from martloom.schemas import JOIN_COLUMNS, STAGING, TIMESTAMP_COLUMNS
 from martloom.session import stage
 
 REJECT_COLUMN = "_rejected_row"
@@ -79,3 +79,8 @@ def load_feed(spark: SparkSession, feed: str, path: str, max_errors: int | None
 def type_timestamps(feed: str, rows: DataFrame) -> DataFrame:
     """Turn the feed's text timestamps into real ones, so later filters reach the Parquet scan."""
     return rows.withColumns({c: try_timestamp(F.col(c)) for c in TIMESTAMP_COLUMNS.get(feed, ())})
+
+
+def normalize_keys(feed: str, rows: DataFrame) -> DataFrame:
+    """Fold the case and trailing spaces of the feed's join columns. Off by default: keys are binary."""
+    return rows.withColumns({c: fold_case(F.col(c)) for c in JOIN_COLUMNS[feed]})

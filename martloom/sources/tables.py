@@ -16,7 +16,8 @@ class Warehouse:
 
     A table is a list of snapshots. A rewrite (rebuild, update, type-2 merge) writes a new
     snapshot and then adds one row to the ``current`` log, so a failed write is never read and
-    no job overwrites the files it is reading.
+    no job overwrites the files it is reading. A snapshot may consist of numbered batches, to
+    which incremental loads add.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -28,39 +29,46 @@ class Warehouse:
             raise ValueError(f"unknown layer {layer!r}")
         return f"{self.root}/{layer}/{table}"
 
-    def _versions(self, layer: str, table: str) -> DataFrame | None:
-        log = f"{self._folder(layer, table)}/current"
-        if not self._exists(log):
-            return None
-        return self.spark.read.schema("version int").parquet(log)
-
     def _exists(self, path: str) -> bool:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
     def version(self, layer: str, table: str) -> int:
         """Number of the current snapshot, 0 when the table does not exist."""
-        log = self._versions(layer, table)
-        if log is None:
+        log = f"{self._folder(layer, table)}/current"
+        if not self._exists(log):
             return 0
-        return log.agg(F.max("version")).first()[0] or 0
+        return self.spark.read.schema("version int").parquet(log).agg(F.max("version")).first()[0] or 0
+
+    def exists(self, layer: str, table: str) -> bool:
+        return self.version(layer, table) > 0
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Replace the table by ``df`` and return it as read back.
+        """Replace the table by ``df`` and return it as read back."""
+        version = self.version(layer, table) + 1
+        self._write_files(df, f"{self._folder(layer, table)}/version={version}", partition_by)
+        self._make_current(layer, table, version)
+        return self.read(layer, table)
 
-        Partitioned tables are rebalanced by the partition columns first: few, evenly sized
-        files per partition, and AQE splits a partition that holds much of the data.
+    def append(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        batch: int,
+        partition_by: Sequence[str] = (),
+        fresh: bool = False,
+    ) -> None:
+        """Add one numbered batch; the table then has the column ``load_batch``.
+
+        Writing the same batch again replaces it, so a load can be repeated after a failure.
+        ``fresh`` starts a new snapshot with this batch as its only one.
         """
-        folder, version = self._folder(layer, table), self.version(layer, table) + 1
-        if partition_by:
-            df = df.hint("rebalance", *partition_by)
-        (
-            df.write.mode("overwrite")
-            .partitionBy(*partition_by)
-            .parquet(f"{folder}/version={version}")
-        )
-        self.spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{folder}/current")
-        return self.read(layer, table)
+        current = self.version(layer, table)
+        version = current + 1 if fresh else max(current, 1)
+        self._write_files(df, f"{self._folder(layer, table)}/version={version}/load_batch={batch}", partition_by)
+        if version != current:
+            self._make_current(layer, table, version)
 
     def read(self, layer: str, table: str) -> DataFrame:
         version = self.version(layer, table)
@@ -68,13 +76,13 @@ class Warehouse:
             raise LookupError(f"{layer}.{table} has not been written")
         return self.spark.read.parquet(f"{self._folder(layer, table)}/version={version}")
 
-    def append(self, df: DataFrame, layer: str, table: str, batch: int) -> None:
-        """Add one numbered batch to an append-only table. Writing the same batch again replaces it."""
-        df.write.mode("overwrite").parquet(f"{self._folder(layer, table)}/load_batch={batch}")
+    def _write_files(self, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+        """Partitioned tables are rebalanced by the partition columns first: few, evenly sized
+        files per partition, and AQE splits a partition that holds much of the data."""
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
-    def read_appended(self, layer: str, table: str) -> DataFrame | None:
-        """All batches of an append-only table, with the batch number as ``load_batch``."""
-        folder = self._folder(layer, table)
-        if not self._exists(folder):
-            return None
-        return self.spark.read.parquet(folder)
+    def _make_current(self, layer: str, table: str, version: int) -> None:
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(version).alias("version"))
+        row.write.mode("append").parquet(f"{self._folder(layer, table)}/current")

@@ -41,9 +41,9 @@ def stream_fact(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = build(batch)
-        loaded = warehouse.read_appended("mart", table)
-        if dedup and loaded is not None:
-            rows = not_yet_loaded(rows, loaded.where(F.col("load_batch") < batch_id), ITEM_KEYS)
+        if dedup and warehouse.exists("mart", table):
+            loaded = warehouse.read("mart", table).where(F.col("load_batch") < batch_id)
+            rows = not_yet_loaded(rows, loaded, ITEM_KEYS)
         warehouse.append(rows, "mart", table, batch_id)
 
     query = (
