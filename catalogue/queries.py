@@ -491,9 +491,8 @@ def _rehearsal(m: Mart) -> tuple[Warehouse, datetime]:
     warehouse = Warehouse(m.spark, scratch_path(m.spark, "rehearsal"))
     control, table, orders = LoadControl(warehouse), "fact_order_items", m.feeds["orders"]
     mark = newest_moment(orders, MOMENT) - timedelta(days=REHEARSAL_DAYS)
-    known = F.coalesce(F.col(MOMENT) <= F.lit(mark).cast("timestamp_ntz"), F.lit(True))
-    unknown_items = unmatched(m.feeds["order_items"], orders, {"order_id": "order_id"})
-    first = m.new_order_items_plan(orders.where(known)).unionByName(m.fact_order_items_plan(unknown_items))
+    recent = orders.where(F.col(MOMENT) > F.lit(mark).cast("timestamp_ntz"))
+    first = m.fact_order_items_plan(unmatched(m.feeds["order_items"], recent, {"order_id": "order_id"}, other_unique=True))
     warehouse.append(first, "mart", table, 1)
     control.record(table, mark, warehouse.read("mart", table).count(), LOADED_AT, 1)
     incremental_load(warehouse, table, orders, MOMENT, m.new_order_items_plan, facts.ITEM_KEYS, LOADED_AT)

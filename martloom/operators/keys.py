@@ -35,22 +35,26 @@ def _partition_sizes(staged: DataFrame) -> list[tuple[int, int]]:
 def with_surrogate_key(df: DataFrame, keys: Sequence[str], name: str, start: int = 1) -> DataFrame:
     """Number the rows ``start, start+1, ...`` in the order of ``keys`` (NULLs first)."""
     staged = _globally_sorted(df, [F.col(k).asc_nulls_first() for k in keys], name)
-    sizes = _partition_sizes(staged)
+    first = _first_number(_partition_sizes(staged), start)
     local = F.col("_slot").bitwiseAND(F.lit(_LOCAL_MASK))
-    if len(sizes) < 2:
-        offset_by_row = F.lit(start).cast("bigint")
-        numbered = staged
-    else:
-        before = accumulate((rows for _, rows in sizes), initial=0)
-        offsets = df.sparkSession.createDataFrame(
-            [(part, first) for (part, _), first in zip(sizes, before)], "part int, first bigint"
-        )
-        # One row per shuffle partition, so the broadcast cannot grow with the data.
-        numbered = staged.join(
-            F.broadcast(offsets), F.shiftright("_slot", _PARTITION_BITS).cast("int") == F.col("part")
-        )
-        offset_by_row = F.col("first") + start
-    return numbered.select((offset_by_row + local).alias(name), *df.columns)
+    return staged.select((first + local).alias(name), *df.columns)
+
+
+def _first_number(sizes: list[tuple[int, int]], start: int) -> Column:
+    """The number of the first row of a row's partition.
+
+    A constant array indexed by the partition, not a join: the numbered table stays a plain
+    projection of its files, so the optimizer still knows its size. One entry per partition.
+    """
+    if not sizes:
+        return F.lit(start).cast("bigint")
+    firsts = [start] * (sizes[-1][0] + 1)
+    for (part, _), before in zip(sizes, accumulate((rows for _, rows in sizes), initial=0)):
+        firsts[part] = start + before
+    if len(firsts) == 1:
+        return F.lit(start).cast("bigint")
+    constant = F.split(F.lit(",".join(map(str, firsts))), ",").cast("array<bigint>")
+    return constant[F.shiftright("_slot", _PARTITION_BITS).cast("int")]
 
 
 def tile_starts(rows: int, tiles: int) -> list[int]:

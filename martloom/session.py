@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. All are Spark's own runtime switches: AQE re-plans joins from
-# real shuffle sizes, splits skewed join partitions and coalesces small ones.
+# real shuffle sizes, splits skewed join partitions and coalesces small ones. Where every
+# partition of one side is small it also hashes that side instead of sorting both.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
