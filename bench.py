@@ -32,7 +32,7 @@ HEADLINE = [
     "profile_nulls",
     "profile_price_ranges",
     "orphan_counts",
-    "dim_seller_merged",
+    "scd2_merge",
     "fact_order_items",
     "fact_payments",
     "fact_delivery_reviews",

@@ -14,6 +14,11 @@ def _half_up(numerator: str, denominator: str, digits: int) -> str:
     )
 
 
+def _whole(*columns: str) -> str:
+    """The clause that presents integer columns as 64-bit ones."""
+    return f"replace ({', '.join(f'cast({c} as bigint) as {c}' for c in columns)})"
+
+
 def _cents(amount: str) -> str:
     return f"cast(({amount}) * 100 as hugeint)"
 
@@ -346,32 +351,36 @@ QUERIES = {
     "orphan_items": """
         select i.order_id, order_item_id, cast(price as double) as price
         from order_items i left join feed_orders o on i.order_id = o.order_id where o.order_id is null""",
+    "orders_without_items": """
+        select o.order_id, order_status from feed_orders o
+        where not exists (select 1 from order_items i where i.order_id = o.order_id)""",
     "untranslated_categories": """
         select distinct p.category as product_category_name
         from products p left join category_translation t on p.category = t.category
         where t.category is null and p.category is not null""",
-    "dim_date": "select * from dim_date",
+    "dim_date": f"select * {_whole('is_weekend', 'is_holiday')} from dim_date",
     "holiday_list": "select full_date, holiday_name from dim_date where is_holiday = 1",
-    "weekday_counts": "select weekday_name, is_weekend, count(*) as cnt from dim_date group by all",
-    "dim_order_status": "select * from dim_order_status",
-    "dim_product": "select * from dim_product",
+    "weekday_counts": "select weekday_name, cast(is_weekend as bigint) as is_weekend, count(*) as cnt from dim_date group by all",
+    "dim_order_status": f"select * {_whole('is_delivered')} from dim_order_status",
+    "dim_product": f"select * {_whole('weight_g', 'length_cm', 'height_cm', 'width_cm')} from dim_product",
     "unknown_category_products": """
         select count(*) as with_unknown_member, count(*) filter (where product_sk > 0) as real_products
         from dim_product where category_en = 'unknown'""",
     "dim_customer": "select * from dim_customer",
     "dim_geography": "select * from dim_geography",
-    "dim_seller": "select * from dim_seller",
-    "dim_seller_merged": "select * from sellers_merged",
-    "seller_version_counts": "select is_current, count(*) as cnt from sellers_merged group by is_current",
+    "scd2_init": f"select * {_whole('is_current')} from dim_seller",
+    "scd2_merge": f"select * {_whole('is_current')} from sellers_merged",
+    "seller_version_counts": "select cast(is_current as bigint) as is_current, count(*) as cnt from sellers_merged group by all",
     "fact_order_items": f"select {_FACT_ITEM_COLUMNS} from fact_order_items",
     "fact_payments": f"select {_PAYMENT_COLUMNS} from fact_payments",
-    "fact_delivery_reviews": "select * from fact_delivery_reviews",
+    "fact_delivery_reviews": f"select * {_whole('is_late', 'is_delivered')} from fact_delivery_reviews",
     "fact_order_items_keyed": f"""
         select row_number() over (order by order_id, order_item_id) as order_item_sk, {_FACT_ITEM_COLUMNS} from fact_order_items""",
     "fact_payments_keyed": f"""
         select row_number() over (order by order_id, payment_sequential) as payment_sk, {_PAYMENT_COLUMNS} from fact_payments""",
-    "fact_delivery_reviews_keyed": """
-        select row_number() over (order by order_id) as delivery_review_sk, * from fact_delivery_reviews""",
+    "fact_delivery_reviews_keyed": f"""
+        select row_number() over (order by order_id) as delivery_review_sk, * {_whole("is_late", "is_delivered")}
+        from fact_delivery_reviews""",
     "unknown_routing": """
         select count(*) filter (where product_sk = -1) as unk_product, count(*) filter (where seller_sk = -1) as unk_seller,
                count(*) filter (where customer_sk = -1) as unk_customer, count(*) filter (where geography_sk = -1) as unk_geography,
@@ -422,7 +431,8 @@ QUERIES = {
         select payment_installments, count(*) as payments, cast(sum(payment_value) as double) as payment_value
         from fact_payments group by payment_installments""",
     "score_by_late": f"""
-        select is_late, count(*) as orders, {_half_up("sum(review_score)", "count(*)", 2)} as avg_review_score,
+        select cast(is_late as bigint) as is_late, count(*) as orders,
+               {_half_up("sum(review_score)", "count(*)", 2)} as avg_review_score,
                {_half_up("sum(delivery_delay_days)", "count(delivery_delay_days)", 1)} as avg_delay_days
         from fact_delivery_reviews where is_delivered = 1 and review_score is not null group by is_late""",
     "score_by_delay_bucket": f"""
@@ -463,7 +473,7 @@ QUERIES = {
         union all
         select 'orphaned_order_items', cast(count(*) as varchar), case when count(*) = 0 then 'PASS' else 'WARN' end
         from order_items i left join feed_orders o on i.order_id = o.order_id where o.order_id is null""",
-    "dq_checks": "select * from checks",
+    "dq_checks": f"select * {_whole('check_id')} from checks",
     "dq_status_summary": "select status, count(*) as checks from checks group by status",
     "unknown_members": "select * from with_unknown",
     "dangling_keys": "select * from dangling",
@@ -489,9 +499,8 @@ QUERIES = {
         select count(*) as undated_items from order_items i left join feed_orders o on i.order_id = o.order_id
         where purchased is null""",
     "incremental_loaded": f"""
-        select {', '.join('f.' + c.strip() if ' as ' not in c and 'cast' not in c else c for c in _FACT_ITEM_COLUMNS.split(','))},
-               case when purchased > (select last_mark from mark) then 2 else 1 end as load_batch
-        from fact_order_items f left join feed_orders o on f.order_id = o.order_id""",
+        select f.*, cast(case when purchased > (select last_mark from mark) then 2 else 1 end as bigint) as load_batch
+        from (select {_FACT_ITEM_COLUMNS} from fact_order_items) f left join feed_orders o on f.order_id = o.order_id""",
     "load_control_after": """
         select 'fact_order_items' as table_name, strftime((select newest from mark), '%Y-%m-%d %H:%M:%S') as last_watermark,
                '2002-01-01 00:00:00' as last_load_time, count(*) as rows_last_loaded

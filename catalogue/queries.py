@@ -19,9 +19,10 @@ from martloom.functions.columns import (
     has_accent,
     visible_length,
 )
+from martloom.operators import scd2
 from martloom.operators.lookup import count_unmatched, unmatched
 from martloom.operators.profiling import blanks, distribution, grain, ranges, row_counts
-from martloom.operators.scd2 import scd2_merge
+from martloom.operators.quality import status_summary
 from martloom.plans import facts, quality_suite, reports, rfm
 from martloom.plans.incremental import (
     LoadControl,
@@ -31,7 +32,6 @@ from martloom.plans.incremental import (
     undated_items,
 )
 from martloom.plans.mart import Mart
-from martloom.operators.quality import status_summary
 from martloom.schemas import STAGING
 from martloom.session import configure, folder_bytes, scratch_path, size_shuffles
 from martloom.sources.csv_feeds import load_csv, load_feed, type_timestamps
@@ -213,6 +213,12 @@ def orphan_items(m: Mart) -> DataFrame:
     return unmatched(items, m.feeds["orders"], {"order_id": "order_id"})
 
 
+@query
+def orders_without_items(m: Mart) -> DataFrame:
+    orders = m.feeds["orders"].select("order_id", "order_status")
+    return unmatched(orders, m.feeds["order_items"], {"order_id": "order_id"})
+
+
 @query
 def untranslated_categories(m: Mart) -> DataFrame:
     category = "product_category_name"
@@ -265,12 +271,12 @@ def dim_geography(m: Mart) -> DataFrame:
 
 
 @query
-def dim_seller(m: Mart) -> DataFrame:
+def scd2_init(m: Mart) -> DataFrame:
     return m.dim_seller
 
 
 @source_query
-def dim_seller_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_sellers(spark, sf_dir)
 
 
@@ -282,7 +288,7 @@ def seller_version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _merged_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = sellers_feed(driver_reader(spark, sf_dir))
     dim = mart(spark, sf_dir).dim_seller
-    return scd2_merge(dim, feed, "seller_id", ["seller_city", "seller_state"], "seller_sk", SELLERS_AS_OF)
+    return scd2.scd2_merge(dim, feed, "seller_id", ["seller_city", "seller_state"], "seller_sk", SELLERS_AS_OF)
 
 
 # --- facts ----------------------------------------------------------------------------------
@@ -530,7 +536,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A pattern, so that the table may be one file or a folder of files.
     items = order_items(lambda table: file_stream(spark, f"{sf_dir}/{table}*.parquet", schema))
     warehouse = Warehouse(spark, scratch_path(spark, "stream"))
-    stream_fact(items, m.fact_order_items_plan, warehouse, "fact_order_items", scratch_path(spark, "stream-progress"))
+    stream_fact(items, m.item_batch_plan, warehouse, "fact_order_items", scratch_path(spark, "stream-progress"))
     return warehouse.read("mart", "fact_order_items").drop("load_batch")
 
 

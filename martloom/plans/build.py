@@ -27,16 +27,18 @@ MONTH = "month_sk"
 FACT_DAYS = {ITEM_FACT: "date_sk", "fact_payments": "date_sk", "fact_delivery_reviews": "purchase_date_sk"}
 
 
-def load_staging(warehouse: Warehouse, csv_paths: Mapping[str, str], fold_keys: bool = False) -> dict[str, int]:
+def load_staging(
+    warehouse: Warehouse, csv_paths: Mapping[str, str], fold_keys: bool = False, crlf_rows: bool = False
+) -> dict[str, int]:
     """Load the CSV feeds into typed staging tables; returns the number of rejected rows per feed.
 
-    Rejected rows are kept as text in ``<feed>_rejects``.
+    Rejected rows are kept as text in ``<feed>_rejects``. ``crlf_rows`` as in ``load_feed``.
     """
     spark = configure(warehouse.spark)
     size_shuffles(spark, sum(folder_bytes(spark, path) for path in csv_paths.values()))
     rejects = {}
     for feed, path in csv_paths.items():
-        loaded = load_feed(spark, feed, path)
+        loaded = load_feed(spark, feed, path, crlf_rows=crlf_rows)
         rows = type_timestamps(feed, loaded.rows)
         warehouse.write(normalize_keys(feed, rows) if fold_keys else rows, "staging", feed)
         rejects[feed] = loaded.reject_count

@@ -40,9 +40,19 @@ def customer_keys(customers: DataFrame, dims: dict[str, DataFrame], with_place:
 
 
 def order_keys(
-    orders: DataFrame, customers: DataFrame, dims: dict[str, DataFrame], with_place: bool = False
+    orders: DataFrame,
+    customers: DataFrame,
+    dims: dict[str, DataFrame],
+    with_place: bool = False,
+    few_orders: bool = False,
 ) -> DataFrame:
-    """Orders with the keys their facts need: customer_sk, order_status_sk, date_sk (and geography_sk)."""
+    """Orders with the keys their facts need: customer_sk, order_status_sk, date_sk (and geography_sk).
+
+    ``few_orders`` is for the orders of one increment: the customers are first reduced to theirs,
+    so the whole customer feed is scanned but not shuffled.
+    """
+    if few_orders:
+        customers = customers.join(orders.select("customer_id").distinct(), "customer_id", "left_semi")
     people = customer_keys(customers, dims, with_place)
     keys = [c for c in people.columns if c != "customer_id"]
     people = people.withColumnRenamed("customer_id", "_customer_id")
@@ -53,6 +63,11 @@ def order_keys(
     return with_status.withColumn("date_sk", date_key_or_unknown(F.col("order_purchase_timestamp")))
 
 
+def orders_of(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The orders some of these items belong to."""
+    return orders.join(order_items.select("order_id").distinct(), "order_id", "left_semi")
+
+
 def _with_order(rows: DataFrame, keyed_orders: DataFrame, keys: list[str]) -> DataFrame:
     """Left join to the order; the order's keys are -1 where there is no such order."""
     order = keyed_orders.select(F.col("order_id").alias("_order_id"), *keys)

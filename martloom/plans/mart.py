@@ -105,17 +105,25 @@ class Mart:
             "dim_order_status": self.dim_order_status,
         }
 
-    def keyed_orders_plan(self, orders: DataFrame | None = None, with_place: bool = False) -> DataFrame:
+    def keyed_orders_plan(
+        self, orders: DataFrame | None = None, with_place: bool = False, few_orders: bool = False
+    ) -> DataFrame:
         orders = self.feeds["orders"] if orders is None else orders
-        return facts.order_keys(orders, self.feeds["customers"], self.dims, with_place)
+        return facts.order_keys(orders, self.feeds["customers"], self.dims, with_place, few_orders)
 
     def fact_order_items_plan(self, order_items: DataFrame | None = None) -> DataFrame:
         items = self.feeds["order_items"] if order_items is None else order_items
         return facts.fact_order_items(items, self.keyed_orders_plan(with_place=True), self.dims)
 
+    def item_batch_plan(self, order_items: DataFrame) -> DataFrame:
+        """Fact rows of one batch of items; only their orders and customers are resolved."""
+        orders = facts.orders_of(order_items, self.feeds["orders"])
+        keyed = self.keyed_orders_plan(orders, with_place=True, few_orders=True)
+        return facts.fact_order_items(order_items, keyed, self.dims)
+
     def new_order_items_plan(self, orders: DataFrame) -> DataFrame:
-        """Fact rows of the items of these orders."""
-        keyed = self.keyed_orders_plan(orders, with_place=True)
+        """Fact rows of the items of these (newly placed) orders."""
+        keyed = self.keyed_orders_plan(orders, with_place=True, few_orders=True)
         return facts.new_order_items(self.feeds["order_items"], keyed, self.dims)
 
     def fact_payments_plan(self) -> DataFrame:

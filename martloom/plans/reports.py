@@ -113,10 +113,13 @@ def delivery_rate(fact_delivery_reviews: DataFrame) -> DataFrame:
 def monthly_trend(fact_order_items: DataFrame, dim_date: DataFrame, first: date, last: date) -> DataFrame:
     """Items, revenue and freight share per month of a period in which the data is dense.
 
-    The period also filters the fact by its day key, so files outside it are skipped.
+    The period also filters the fact itself, by its day key and, where the fact is stored by
+    month, by its partitions, so files outside the period are not read.
     """
     days = dim_date.where(F.col("full_date").between(F.lit(first), F.lit(last))).select("date_sk", "year", "month")
     in_period = fact_order_items.where(F.col("date_sk").between(_key(first), _key(last)))
+    if "month_sk" in fact_order_items.columns:
+        in_period = in_period.where(F.col("month_sk").between(_key(first) // 100, _key(last) // 100))
     per_day = in_period.groupBy("date_sk").agg(
         F.sum("price").alias("price"), F.sum("freight_value").alias("freight_value"), F.count("*").alias("n")
     )

@@ -28,10 +28,20 @@ class CsvLoad:
     reject_count: int
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+# Where rows end in a free-text feed whose quoted fields contain plain line breaks.
+CRLF = "\r\n"
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multi_line: bool = False,
+    row_end: str | None = None,
+) -> DataFrame:
     """Comma-separated UTF-8 with a header and doubled quotes; malformed rows keep their raw text."""
     with_reject = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType())])
-    return (
+    reader = (
         spark.read.schema(with_reject)
         .option("header", True)
         .option("sep", ",")
@@ -41,8 +51,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", REJECT_COLUMN)
         .option("multiLine", multi_line)
-        .csv(path)
     )
+    if row_end:
+        reader = reader.option("lineSep", row_end)
+    return reader.csv(path)
 
 
 def load_csv(
@@ -52,15 +64,17 @@ def load_csv(
     *,
     name: str,
     multi_line: bool = False,
+    row_end: str | None = None,
     max_errors: int = 0,
 ) -> CsvLoad:
     """Parse a feed once into Parquet, then split it into good rows and rejects.
 
-    ``multi_line`` is for free-text feeds whose quoted fields contain line breaks. Such a file
-    cannot be split, so deliver it as many files; every later job reads the Parquet copy.
-    Fails when more than ``max_errors`` rows do not fit the schema.
+    ``multi_line`` accepts any line break inside quotes, at the price that a file is read by
+    one task. ``row_end`` names the row separator instead: a file is then read in parallel,
+    and quoted fields may contain every other line break. Fails when more than ``max_errors``
+    rows do not fit the schema.
     """
-    staged = stage(read_csv(spark, path, schema, multi_line), f"staging-{name}")
+    staged = stage(read_csv(spark, path, schema, multi_line, row_end), f"staging-{name}")
     rejects = staged.where(F.col(REJECT_COLUMN).isNotNull()).select(F.col(REJECT_COLUMN).alias("raw_row"))
     reject_count = rejects.count()
     if reject_count > max_errors:
@@ -69,11 +83,25 @@ def load_csv(
     return CsvLoad(rows, rejects, reject_count)
 
 
-def load_feed(spark: SparkSession, feed: str, path: str, max_errors: int | None = None) -> CsvLoad:
-    """Load one of the declared feeds. The review feed is free text and tolerates ten bad rows."""
+def load_feed(
+    spark: SparkSession, feed: str, path: str, max_errors: int | None = None, crlf_rows: bool = False
+) -> CsvLoad:
+    """Load one of the declared feeds. The review feed is free text and tolerates ten bad rows.
+
+    Pass ``crlf_rows`` when its rows end with CRLF and its texts contain only plain line
+    breaks: large files are then split over tasks.
+    """
     free_text = feed == "order_reviews"
     allowed = (10 if free_text else 0) if max_errors is None else max_errors
-    return load_csv(spark, path, STAGING[feed], name=feed, multi_line=free_text, max_errors=allowed)
+    return load_csv(
+        spark,
+        path,
+        STAGING[feed],
+        name=feed,
+        multi_line=free_text and not crlf_rows,
+        row_end=CRLF if free_text and crlf_rows else None,
+        max_errors=allowed,
+    )
 
 
 def type_timestamps(feed: str, rows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ replaces its own output.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,19 +32,24 @@ def stream_fact(
     table: str,
     checkpoint: str,
     dedup: bool = True,
+    first_batch: int = 0,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Process everything available in ``items`` and stop.
 
     ``build`` turns a micro-batch of items into fact rows. With ``dedup`` an item delivered
-    again in a later file is not added twice.
+    again, in a later file or twice in one micro-batch, is added once. ``first_batch`` is the number of
+    the stream's first batch; to extend a table that has batches already it must be above theirs
+    and stay the same for the life of the checkpoint.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = build(batch)
+        number = first_batch + batch_id
+        rows = build(batch.dropDuplicates(ITEM_KEYS) if dedup else batch)
         if dedup and warehouse.exists("mart", table):
-            loaded = warehouse.read("mart", table).where(F.col("load_batch") < batch_id)
+            loaded = warehouse.read("mart", table).where(F.col("load_batch") < number)
             rows = not_yet_loaded(rows, loaded, ITEM_KEYS)
-        warehouse.append(rows, "mart", table, batch_id)
+        warehouse.append(rows, "mart", table, number, partition_by)
 
     query = (
         items.writeStream.foreachBatch(load)

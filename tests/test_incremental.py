@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.plans import build
+from martloom.plans.dimensions import dim_date, fixed_bounds
 from martloom.plans.facts import ITEM_KEYS
 from martloom.plans.incremental import LoadControl, expected_new_rows, incremental_load, newer_than, undated_items
+from martloom.plans.reports import monthly_trend
 from martloom.sources.tables import Warehouse
 from tests import samples
 
@@ -152,6 +154,17 @@ def test_full_build_refresh_and_checks(spark, warehouse, tmp_path, collect):
     assert again.count() == len(samples.ITEMS) + 1 and collect(again.select("load_batch").distinct()) == [(1,)]
 
 
+def test_trend_reads_only_its_months(warehouse, spark, make, operators):
+    schema = "date_sk int, price decimal(18,2), freight_value decimal(18,2)"
+    fact = make(schema, [(20180110, Decimal(1), Decimal(1)), (20180210, Decimal(2), Decimal(1)), (-1, Decimal(3), Decimal(1))])
+    stored = warehouse.write(fact.withColumn("month_sk", build.month_key(F.col("date_sk"))), "mart", "f", ["month_sk"])
+    calendar = dim_date(fixed_bounds(spark, date(2018, 1, 1), date(2018, 12, 31)))
+    trend = monthly_trend(stored, calendar, date(2018, 2, 1), date(2018, 2, 28))
+    assert [(r["month"], r["items"]) for r in trend.collect()] == [(2, 1)]
+    plan = operators(trend)
+    assert "month_sk#" in plan and ">= 201802)" in plan.split("PartitionFilters:")[1]
+
+
 def test_partitioned_fact_is_pruned_by_month(warehouse, make, operators):
     fact = make("date_sk int, price int", [(20180110, 1), (20180210, 2), (-1, 3)])
     stored = warehouse.write(fact.withColumn("month_sk", build.month_key(F.col("date_sk"))), "mart", "f", ["month_sk"])

@@ -1,6 +1,3 @@
-from pyspark.sql import functions as F
-
-from martloom.plans.facts import fact_order_items
 from martloom.plans.mart import Mart
 from martloom.sources.tables import Warehouse
 from martloom.streaming.fact_stream import file_stream, stream_fact
@@ -16,7 +13,7 @@ def test_streamed_fact_equals_batch_fact(spark, tmp_path, collect):
 
     def run():
         stream = file_stream(spark, folder, items.schema, files_per_batch=1)
-        stream_fact(stream, mart.fact_order_items_plan, warehouse, "fact_order_items", progress)
+        stream_fact(stream, mart.item_batch_plan, warehouse, "fact_order_items", progress, first_batch=5)
 
     items.where("order_id < 'o3'").coalesce(1).write.mode("append").parquet(folder)
     run()
@@ -26,4 +23,4 @@ def test_streamed_fact_equals_batch_fact(spark, tmp_path, collect):
     run()
     got = warehouse.read("mart", "fact_order_items")
     assert collect(got.drop("load_batch")) == collect(mart.fact_order_items_plan())
-    assert collect(got.select("load_batch").distinct()) == [(0,), (1,)]
+    assert collect(got.select("load_batch").distinct()) == [(5,), (6,)]
