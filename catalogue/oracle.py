@@ -204,18 +204,18 @@ VIEWS = {
                ntile(5) over (order by frequency nulls last, customer_sk) as f_score,
                ntile(5) over (order by monetary nulls last, customer_sk) as m_score
         from rfm_base""",
+    "segment_rules": """
+        select * from (values
+            (1, 4, 5, 4, 5, 4, 'Champions'), (2, 3, 5, 3, 5, 1, 'Loyal'), (3, 4, 5, 1, 2, 1, 'New / Promising'),
+            (4, 3, 5, 1, 5, 4, 'Big Spenders'), (5, 1, 2, 3, 5, 1, 'At Risk'), (6, 1, 2, 1, 5, 4, 'Can''t Lose Them'),
+            (7, 1, 2, 1, 2, 1, 'Lost'), (8, 1, 5, 1, 5, 1, 'Needs Attention')
+        ) as rules(pos, r_lo, r_hi, f_lo, f_hi, m_lo, label)""",
     "rfm_segments": """
         select customer_sk, customer_unique_id, r_score, f_score, m_score,
-               cast(r_score as varchar) || f_score || m_score as rfm_cell,
-               case when least(r_score, f_score, m_score) >= 4 then 'Champions'
-                    when least(r_score, f_score) >= 3 then 'Loyal'
-                    when r_score >= 4 and f_score <= 2 then 'New / Promising'
-                    when r_score >= 3 and m_score >= 4 then 'Big Spenders'
-                    when r_score <= 2 and f_score >= 3 then 'At Risk'
-                    when r_score <= 2 and m_score >= 4 then 'Can''t Lose Them'
-                    when greatest(r_score, f_score) <= 2 then 'Lost'
-                    else 'Needs Attention' end as rfm_segment
-        from rfm_scores""",
+               cast(100 * r_score + 10 * f_score + m_score as varchar) as rfm_cell, arg_min(label, pos) as rfm_segment
+        from rfm_scores join segment_rules
+             on r_score between r_lo and r_hi and f_score between f_lo and f_hi and m_score >= m_lo
+        group by all""",
     "dim_customer_segmented": """
         select d.*, coalesce(rfm_segment, 'Unknown') as rfm_segment
         from dim_customer d left join (select customer_sk, rfm_segment from rfm_segments) s on d.customer_sk = s.customer_sk""",
@@ -237,51 +237,40 @@ VIEWS = {
         union all select 'seller', count(*) from dim_seller where seller_sk = -1
         union all select 'geography', count(*) from dim_geography where geography_sk = -1
         union all select 'order_status', count(*) from dim_order_status where order_status_sk = -1""",
-    "checks": f"""
-        select 1 as check_id, 'reconciliation' as check_category, 'fact_order_items row count' as check_name,
-               cast((select count(*) from order_items) as varchar) as expected, cast(count(*) as varchar) as actual,
-               case when count(*) = (select count(*) from order_items) then 'PASS' else 'FAIL' end as status
-        from fact_order_items
-        union all
-        select 2, 'reconciliation', 'fact revenue matches staging',
-               cast((select cast(sum(price) as decimal(18,2)) from order_items) as varchar),
-               cast(cast(sum(price) as decimal(18,2)) as varchar),
-               case when sum(price) = (select sum(price) from order_items) then 'PASS' else 'FAIL' end
-        from fact_order_items
-        union all
-        select 3, 'reconciliation', 'fact_payments row count', cast((select count(*) from order_payments) as varchar),
-               cast(count(*) as varchar),
-               case when count(*) = (select count(*) from order_payments) then 'PASS' else 'FAIL' end
-        from fact_payments
-        union all
-        select 4, 'integrity', 'fact_order_items product_sk valid', '0', cast(value as varchar),
-               case when value = 0 then 'PASS' else 'FAIL' end from dangling where item = 'oi_bad_product'
+    "offenders": """
+        select 4 as id, 'integrity' as category, 'fact_order_items product_sk valid' as name, value as n
+        from dangling where item = 'oi_bad_product'
+        union all select 5, 'integrity', 'fact_order_items customer_sk valid', value from dangling where item = 'oi_bad_customer'
+        union all select 6, 'integrity', 'fact_order_items date_sk valid', value from dangling where item = 'oi_bad_date'
+        union all select 7, 'uniqueness', 'dim_customer unique_id no dupes', count(*) - count(distinct customer_unique_id)
+        from dim_customer
+        union all select 8, 'uniqueness', 'dim_seller one current per seller_id', count(*) - count(distinct seller_id)
+        from dim_seller where is_current = 1
+        union all select 9, 'validity', 'no negative prices', count(*) filter (where price < 0) from fact_order_items
+        union all select 10, 'validity', 'review scores in 1-5 (staging)', count(*) filter (where review_score not between 1 and 5)
+        from order_reviews""",
+    "pairs": """
+        select 1 as id, 'fact_order_items row count' as name, cast((select count(*) from order_items) as varchar) as expected,
+               cast((select count(*) from fact_order_items) as varchar) as actual
         union all
-        select 5, 'integrity', 'fact_order_items customer_sk valid', '0', cast(value as varchar),
-               case when value = 0 then 'PASS' else 'FAIL' end from dangling where item = 'oi_bad_customer'
+        select 2, 'fact revenue matches staging', cast((select sum(price) from order_items) as varchar),
+               cast((select sum(price) from fact_order_items) as varchar)
         union all
-        select 6, 'integrity', 'fact_order_items date_sk valid', '0', cast(value as varchar),
-               case when value = 0 then 'PASS' else 'FAIL' end from dangling where item = 'oi_bad_date'
-        union all
-        select 7, 'uniqueness', 'dim_customer unique_id no dupes', '0', cast(count(*) as varchar),
-               case when count(*) = 0 then 'PASS' else 'FAIL' end
-        from (select customer_unique_id from dim_customer group by 1 having count(*) > 1)
-        union all
-        select 8, 'uniqueness', 'dim_seller one current per seller_id', '0', cast(count(*) as varchar),
-               case when count(*) = 0 then 'PASS' else 'FAIL' end
-        from (select seller_id from dim_seller where is_current = 1 group by 1 having count(*) > 1)
-        union all
-        select 9, 'validity', 'no negative prices', '0', cast(count(*) as varchar),
-               case when count(*) = 0 then 'PASS' else 'FAIL' end from fact_order_items where price < 0
+        select 3, 'fact_payments row count', cast((select count(*) from order_payments) as varchar),
+               cast((select count(*) from fact_payments) as varchar)""",
+    "checks": f"""
+        select id as check_id, 'reconciliation' as check_category, name as check_name, expected, actual,
+               if(expected = actual, 'PASS', 'FAIL') as status from pairs
         union all
-        select 10, 'validity', 'review scores in 1-5 (staging)', '0', cast(count(*) as varchar),
-               case when count(*) = 0 then 'PASS' else 'FAIL' end
-        from order_reviews where review_score not between 1 and 5
+        select id, category, name, '0', cast(n as varchar), if(n = 0, 'PASS', 'FAIL') from offenders
         union all
         select 11, 'completeness', 'geography unknown rate', '<5%',
                printf('%.2f', {_half_up("100 * count(*) filter (where geography_sk = -1)", "count(*)", 2)}) || '%',
-               case when 100.0 * count(*) filter (where geography_sk = -1) / count(*) < 5 then 'PASS' else 'WARN' end
+               if(20 * count(*) filter (where geography_sk = -1) < count(*), 'PASS', 'WARN')
         from fact_order_items""",
+    "delay_bands": """
+        select * from (values (-100000, -5, '5+ days early'), (-4, -1, 'Early'), (0, 0, 'On time'), (1, 5, '1-5 days late'),
+            (6, 100000, '5+ days late')) as bands(lo, hi, delivery_bucket)""",
 }
 
 _FREIGHT = """cast(sum(price) as double) as revenue, cast(sum(freight_value) as double) as freight,
@@ -436,12 +425,9 @@ QUERIES = {
                {_half_up("sum(delivery_delay_days)", "count(delivery_delay_days)", 1)} as avg_delay_days
         from fact_delivery_reviews where is_delivered = 1 and review_score is not null group by is_late""",
     "score_by_delay_bucket": f"""
-        select case when delivery_delay_days <= -5 then '5+ days early' when delivery_delay_days < 0 then 'Early'
-                    when delivery_delay_days = 0 then 'On time' when delivery_delay_days <= 5 then '1-5 days late'
-                    else '5+ days late' end as delivery_bucket,
-               count(*) as orders, {_half_up("sum(review_score)", "count(*)", 2)} as avg_score
-        from fact_delivery_reviews
-        where is_delivered = 1 and review_score is not null and delivery_delay_days is not null group by 1""",
+        select delivery_bucket, count(*) as orders, {_half_up("sum(review_score)", "count(*)", 2)} as avg_score
+        from fact_delivery_reviews join delay_bands on delivery_delay_days between lo and hi
+        where is_delivered = 1 and review_score is not null group by delivery_bucket""",
     "rfm_base": """
         select customer_sk, customer_unique_id, recency_days, frequency, cast(monetary as double) as monetary from rfm_base""",
     "rfm_summary": f"""

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Labels of the delivery-delay bands, in ascending order of the delay.
-DELAY_5_PLUS_EARLY = "5+ days early"
-DELAY_EARLY = "Early"
-DELAY_ON_TIME = "On time"
-DELAY_1_TO_5_LATE = "1-5 days late"
-DELAY_5_PLUS_LATE = "5+ days late"
-
-# Customer segment names.
-SEGMENT_CHAMPIONS = "Champions"
-SEGMENT_LOYAL = "Loyal"
-SEGMENT_NEW = "New / Promising"
-SEGMENT_BIG_SPENDERS = "Big Spenders"
-SEGMENT_AT_RISK = "At Risk"
-SEGMENT_CANT_LOSE = "Can't Lose Them"
-SEGMENT_LOST = "Lost"
-SEGMENT_ATTENTION = "Needs Attention"
+# The largest delay, in days, of each delivery band, and the band beyond them.
+DELAY_BANDS = [
+    (-5, "5+ days early"),
+    (-1, "Early"),
+    (0, "On time"),
+    (5, "1-5 days late"),
+]
+LATEST_BAND = "5+ days late"
+
+# Score ranges (recency, frequency, monetary) of each customer segment. The ranges
+# overlap; the first rule that fits decides.
+LOW, ANY = (1, 2), (1, 5)
+SEGMENTS = [
+    ("Champions", (4, 5), (4, 5), (4, 5)),
+    ("Loyal", (3, 5), (3, 5), ANY),
+    ("New / Promising", (4, 5), LOW, ANY),
+    ("Big Spenders", (3, 5), ANY, (4, 5)),
+    ("At Risk", LOW, (3, 5), ANY),
+    ("Can't Lose Them", LOW, ANY, (4, 5)),
+    ("Lost", LOW, LOW, ANY),
+]
+SEGMENT_OTHERWISE = "Needs Attention"
 SEGMENT_UNKNOWN = "Unknown"
 
 
-def first_match(rules: list[tuple[Column, str]], otherwise: str) -> Column:
+def first_match(rules: Sequence[tuple[Column, str]], otherwise: str) -> Column:
     """The label of the first rule that holds."""
     (condition, label), *rest = rules
     chain = reduce(lambda acc, rule: acc.when(*rule), rest, F.when(condition, label))
@@ -34,32 +42,14 @@ def first_match(rules: list[tuple[Column, str]], otherwise: str) -> Column:
 
 
 def delay_band(delay_days: Column) -> Column:
-    """Bands close at -5 and at 5; exactly five days late is still in the 1-5 band."""
-    return first_match(
-        [
-            (delay_days <= -5, DELAY_5_PLUS_EARLY),
-            (delay_days < 0, DELAY_EARLY),
-            (delay_days == 0, DELAY_ON_TIME),
-            (delay_days <= 5, DELAY_1_TO_5_LATE),
-        ],
-        DELAY_5_PLUS_LATE,
-    )
+    return first_match([(delay_days <= top, label) for top, label in DELAY_BANDS], LATEST_BAND)
 
 
 def customer_segment(recency: Column, frequency: Column, monetary: Column) -> Column:
-    """Segment of a customer from its three scores (1 to 5). Rules overlap: the first one wins."""
-    recent, fresh, gone = recency >= 3, recency >= 4, recency <= 2
-    often, seldom = frequency >= 3, frequency <= 2
-    spends = monetary >= 4
-    return first_match(
-        [
-            (fresh & (frequency >= 4) & spends, SEGMENT_CHAMPIONS),
-            (recent & often, SEGMENT_LOYAL),
-            (fresh & seldom, SEGMENT_NEW),
-            (recent & spends, SEGMENT_BIG_SPENDERS),
-            (gone & often, SEGMENT_AT_RISK),
-            (gone & spends, SEGMENT_CANT_LOSE),
-            (gone & seldom, SEGMENT_LOST),
-        ],
-        SEGMENT_ATTENTION,
-    )
+    """Segment of a customer from its three scores (1 to 5)."""
+    scores = (recency, frequency, monetary)
+    rules = [
+        (reduce(and_, [score.between(*limits) for score, limits in zip(scores, ranges) if limits != ANY]), label)
+        for label, *ranges in SEGMENTS
+    ]
+    return first_match(rules, SEGMENT_OTHERWISE)
