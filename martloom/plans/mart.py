@@ -122,9 +122,15 @@ class Mart:
         return facts.fact_order_items(order_items, keyed, self.dims)
 
     def new_order_items_plan(self, orders: DataFrame) -> DataFrame:
-        """Fact rows of the items of these (newly placed) orders."""
+        """Fact rows of the items of these (newly placed) orders.
+
+        The orders with their keys are written down first. An increment is small, and then the
+        planner knows it: the join broadcasts them and the whole item feed is scanned but not
+        shuffled. An increment over the broadcast limit is joined by shuffle.
+        """
         keyed = self.keyed_orders_plan(orders, with_place=True, few_orders=True)
-        return facts.new_order_items(self.feeds["order_items"], keyed, self.dims)
+        new_orders = stage(keyed.select("order_id", *facts.ORDER_ITEM_KEYS), "new_orders")
+        return facts.new_order_items(self.feeds["order_items"], new_orders, self.dims)
 
     def fact_payments_plan(self) -> DataFrame:
         return facts.fact_payments(self.feeds["order_payments"], self.keyed_orders_plan())

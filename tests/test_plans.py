@@ -61,3 +61,10 @@ def test_large_dimensions_are_not_broadcast(spark, mart, operators):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_increment_scans_the_item_feed_without_shuffling_it(spark, mart, operators):
+    orders = mart.feeds["orders"].where("order_purchase_timestamp > timestamp_ntz'2001-06-01 00:00:00'")
+    fact = mart.new_order_items_plan(orders)
+    assert 0 < fact.count() < mart.feeds["order_items"].count()
+    assert "Exchange hashpartitioning" not in operators(fact)
