@@ -64,3 +64,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_secrets, op2_chunk_dedup, op3_graph_search, op4_mixing, op5_simhash, op6_pieces, op7_feistel, op8_quality, op9_line_crf, op10_licenses)
 }
+
+# DuckDB SQL of the same results, where SQL can express them.
+ORACLE_SQL: dict[str, str] = {}
