@@ -13,6 +13,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from martloom.session import stage
@@ -69,10 +70,11 @@ def chunks_of(text: str | None) -> list[dict]:
     return out
 
 
-CHUNK = "array<struct<i:int,start:int,end:int,words:int,hi:long,lo:long>>"
+_INTS = [T.StructField(c, T.IntegerType()) for c in ("i", "start", "end", "words")]
+_CHUNKS = T.ArrayType(T.StructType([*_INTS, *[T.StructField(c, T.LongType()) for c in ("hi", "lo")]]))
 
 
-@F.pandas_udf(CHUNK)
+@F.pandas_udf(_CHUNKS)
 def _chunks(texts: pd.Series) -> pd.Series:
     return texts.map(chunks_of)
 

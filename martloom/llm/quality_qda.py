@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.session import stage
 
@@ -71,7 +72,7 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _statistics(texts: pd.Series) -> pd.Series:
     return texts.map(statistics)
 

@@ -41,7 +41,7 @@ KINDS = ["assign", "access", "hex", "ident", "email", "label", "token", "endpoin
 BASE_KINDS = 3
 ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "ident": "identifier", "email": "identifier", "label": "secret", "token": "secret", "endpoint": "endpoint"}
 
-_PART = "struct<kind:int,start:int,end:int,scope:int>"
+_PARTS = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("kind", "start", "end", "scope")]))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -103,7 +103,7 @@ def parts_of(text: str | None) -> list[dict]:
     return out
 
 
-@F.pandas_udf(f"array<{_PART}>")
+@F.pandas_udf(_PARTS)
 def _parts(texts: pd.Series) -> pd.Series:
     return texts.map(parts_of)
 

@@ -14,7 +14,6 @@ returns a spanning forest of the links it finds: never more rows than fingerprin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
