@@ -249,8 +249,9 @@ def _assemble(columns: list[str], encode_rest, fallback):
             ids = {w: np.array(merge_edges(w, e.tolist(), fallback), dtype=np.int32) for w, e in zip(known["word"], known["edges"])}
         none = np.empty(0, dtype=np.int32)
         out = []
-        for text in docs["_text"]:
-            found = [ids[w] if w in ids else encode_rest(w) for w in _WORDS.findall(text)]
+        for text in docs["text"]:
+            words = _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+            found = [ids[w] if w in ids else encode_rest(w) for w in words]
             out.append(np.concatenate(found) if found else none)
         docs = docs[columns].copy()
         docs["ids"] = out
@@ -270,9 +271,9 @@ def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, chunk_
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = max(1, -(-size // chunk_bytes))
     chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
-    dealt = docs.select(*keep, marked(F.col("text")).alias("_text"), chunk.alias("_chunk")).repartition("_chunk")
+    dealt = docs.select(*dict.fromkeys([*keep, "text"]), chunk.alias("_chunk")).repartition("_chunk")
     by = ["_chunk", "word"]
-    each = dealt.select("_chunk", keep[0], F.explode(F.regexp_extract_all("_text", F.lit(WORDS), F.lit(0))).alias("word"))
+    each = dealt.select("_chunk", keep[0], F.explode(F.regexp_extract_all(marked(F.col("text")), F.lit(WORDS), F.lit(0))).alias("word"))
     # Counting a kept column makes both readers of ``dealt`` ask for the same columns, and so share its shuffle.
     words = each.where(F.length("word") <= LATTICE_CHARS).groupBy(*by).agg(F.count(keep[0]).alias("uses"))
     known = lattice(words, table, [*by, "uses"])
