@@ -30,7 +30,9 @@ SPACE = "▁"
 WORDS = f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
 # Longer words (boundaries are bits of a long) are merged by a heap in a task.
 LATTICE_CHARS = 62
-CHUNK_BYTES = 8 << 20
+# Text in one task: its words' edges are sorted in memory, about 30 times as much. Executors with more memory
+# take larger chunks, in which more words repeat.
+CHUNK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -121,13 +123,14 @@ def _inner(edge: Column) -> Column:
 
 
 def lattice(words: DataFrame, table: Pieces, by: list[str]) -> DataFrame:
-    """``by`` (which holds ``word``), edges: every piece in the word, and a way over each single character."""
-    most = table.longest
-    at = words.select(*by, F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    spans = at.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.length("word") - F.col("start")))))
+    """``by`` (which holds ``word``), edges: every piece in the word, as numbers. For a unigram model there is a
+    way over each single character; merging needs pieces of two or more characters only."""
+    most, least = table.longest, 1 if table.unigram else 2
+    at = words.where(F.length("word") >= least).select(*by, F.explode(F.sequence(F.lit(0), F.length("word") - least)).alias("start"))
+    spans = at.withColumn("size", F.explode(F.sequence(F.lit(least), F.least(F.lit(most), F.length("word") - F.col("start")))))
     spans = spans.withColumn("piece", F.substring(F.col("word"), F.col("start") + 1, F.col("size")))
     # The piece table is a fixed vocabulary, so its broadcast does not grow with the data.
-    edges = spans.join(F.broadcast(table.frame(words.sparkSession)), "piece", "left").where("id is not null or size = 1")
+    edges = spans.join(F.broadcast(table.frame(words.sparkSession)), "piece", "left" if table.unigram else "inner").where("id is not null or size = 1")
     place = lambda c, bits: F.call_function("shiftleft", c.cast("long"), F.lit(bits))
     edge = (
         place(F.coalesce("place", F.lit(_NO_RANK)), _RANK) + place(F.col("start"), _START) + place(F.col("size"), _SIZE)
@@ -165,7 +168,7 @@ def fold(latticed: DataFrame, table: Pieces, by: list[str]) -> DataFrame:
     return kept.select(*by, F.flatten(ids).alias("ids"))
 
 
-def merge_edges(word: str, edges: list[int], fallback) -> list[int]:
+def merge_edges(word: str, edges: list[int], single) -> list[int]:
     """Ids of a short word by merging over its edges. ``points`` are the bounds left, as bits; an edge can
     merge when its ends are bounds with one bound between them. Sorted edges are in merge order."""
     spans = []
@@ -173,18 +176,18 @@ def merge_edges(word: str, edges: list[int], fallback) -> list[int]:
         start = e >> _START & 63
         end = start + (e >> _SIZE & 63)
         spans.append((1 << start | 1 << end, (1 << end) - (1 << start + 1), start, e & _NO_PIECE))
-    points, wide = (1 << len(word) + 1) - 1, [x for x in spans if x[1]]
+    points, wide = (1 << len(word) + 1) - 1, spans
     while wide:
         for ends, inner, _, _ in wide:
             between = points & inner
-            if between & (between - 1) == 0 and between:
+            if between and between & (between - 1) == 0:
                 points ^= between
                 break
         else:
             break
         wide = [x for x in wide if x[0] & points == x[0] and x[1] & points]
-    path = sorted((start, i) for ends, inner, start, i in spans if ends & points == ends and not inner & points)
-    return [i for start, i in path] if all(i != _NO_PIECE for _, i in path) else [j for start, i in path for j in ([i] if i != _NO_PIECE else fallback(word[start]))]
+    merged = {start: i for ends, inner, start, i in spans if ends & points == ends and not inner & points}
+    return [j for at in range(len(word)) if points >> at & 1 for j in ([merged[at]] if at in merged else single(word[at]))]
 
 
 def encode_long(word: str, rank: dict[str, tuple[float, int]], fallback, unigram: bool, longest: int) -> list[int]:
@@ -228,25 +231,28 @@ def encode_long(word: str, rank: dict[str, tuple[float, int]], fallback, unigram
 
 
 def _encoders(table: Pieces):
-    """What tasks need of the table: a way to encode a long word and one for a character that is no piece."""
+    """What tasks need of the table: a way to encode any word, and one for a single character."""
     rank = {p: (r, i) for i, (p, r, ok) in enumerate(zip(table.pieces, table.rank, table.normal)) if ok}
     base, unknown, unigram, longest = table.byte_base, table.unknown, table.unigram, table.longest
 
     def fallback(char: str) -> list[int]:
         return [base + b for b in char.encode("utf-8", "surrogatepass")] if base >= 0 else [unknown]
 
-    return lambda word: np.array(encode_long(word, rank, fallback, unigram, longest), dtype=np.int32), fallback
+    def single(char: str) -> list[int]:
+        return [rank[char][1]] if char in rank else fallback(char)
+
+    return lambda word: np.array(encode_long(word, rank, fallback, unigram, longest), dtype=np.int32), single
 
 
 _WORDS = regex.compile(WORDS)
 
 
-def _assemble(columns: list[str], encode_rest, fallback):
+def _assemble(columns: list[str], encode_rest, single):
     def assemble(key: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if "ids" in known:
             ids = dict(zip(known["word"], known["ids"]))
         else:
-            ids = {w: np.array(merge_edges(w, e.tolist(), fallback), dtype=np.int32) for w, e in zip(known["word"], known["edges"])}
+            ids = {w: np.array(merge_edges(w, e.tolist(), single), dtype=np.int32) for w, e in zip(known["word"], known["edges"])}
         none = np.empty(0, dtype=np.int32)
         out = []
         for text in docs["text"]:
@@ -271,12 +277,13 @@ def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, chunk_
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = max(1, -(-size // chunk_bytes))
     chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
-    dealt = docs.select(*dict.fromkeys([*keep, "text"]), chunk.alias("_chunk")).repartition("_chunk")
+    dealt = docs.select(*dict.fromkeys([*keep, "text"]), chunk.alias("_chunk")).repartition(chunks, "_chunk")
     by = ["_chunk", "word"]
     each = dealt.select("_chunk", keep[0], F.explode(F.regexp_extract_all(marked(F.col("text")), F.lit(WORDS), F.lit(0))).alias("word"))
     # Counting a kept column makes both readers of ``dealt`` ask for the same columns, and so share its shuffle.
     words = each.where(F.length("word") <= LATTICE_CHARS).groupBy(*by).agg(F.count(keep[0]).alias("uses"))
     known = lattice(words, table, [*by, "uses"])
+    # A word without such pieces is on no lattice; it is encoded where it is met, as long words are.
     known = (fold(known, table, [*by, "uses"]) if table.unigram else known).withColumnRenamed("_chunk", "_of")
     kinds = {f.name: f.dataType for f in dealt.schema.fields}
     schema = T.StructType([T.StructField(c, kinds[c]) for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
