@@ -147,7 +147,9 @@ def rules() -> list[Rule]:
         tiers[tier].append(Rule(keyword, regex_of(notation), label, tier))
 
     def version_forms(v: str) -> list[str]:
-        return [v] if not v.endswith(".0") else [v, v[:-2]]
+        """"3.0" as "3 0", "v3 0", "3" and "v3"."""
+        major, _, minor = v.partition(".")
+        return [f"{major}|v{major} {minor}"] + ([f"{major}|v{major}"] if minor == "0" else [])
 
     for label, name, short, versions in FAMILIES:
         add(0, label, f"spdx L identifier {short}")
