@@ -269,8 +269,8 @@ VIEWS = {
                if(20 * count(*) filter (where geography_sk = -1) < count(*), 'PASS', 'WARN')
         from fact_order_items""",
     "delay_bands": """
-        select * from (values (-100000, -5, '5+ days early'), (-4, -1, 'Early'), (0, 0, 'On time'), (1, 5, '1-5 days late'),
-            (6, 100000, '5+ days late')) as bands(lo, hi, delivery_bucket)""",
+        select * from (values (null, -5, '5+ days early'), (-4, -1, 'Early'), (0, 0, 'On time'), (1, 5, '1-5 days late'),
+            (6, null, '5+ days late')) as bands(lo, hi, delivery_bucket)""",
 }
 
 _FREIGHT = """cast(sum(price) as double) as revenue, cast(sum(freight_value) as double) as freight,
@@ -426,7 +426,7 @@ QUERIES = {
         from fact_delivery_reviews where is_delivered = 1 and review_score is not null group by is_late""",
     "score_by_delay_bucket": f"""
         select delivery_bucket, count(*) as orders, {_half_up("sum(review_score)", "count(*)", 2)} as avg_score
-        from fact_delivery_reviews join delay_bands on delivery_delay_days between lo and hi
+        from fact_delivery_reviews join delay_bands on delivery_delay_days >= coalesce(lo, delivery_delay_days) and delivery_delay_days <= coalesce(hi, delivery_delay_days)
         where is_delivered = 1 and review_score is not null group by delivery_bucket""",
     "rfm_base": """
         select customer_sk, customer_unique_id, recency_days, frequency, cast(monetary as double) as monetary from rfm_base""",
@@ -455,7 +455,7 @@ QUERIES = {
         from fact_delivery_reviews f join dim_customer_segmented d on f.customer_sk = d.customer_sk group by rfm_segment""",
     "dq_staging_checks": """
         select 'orders_row_count' as check_name, cast(count(*) as varchar) as check_result,
-               case when count(*) = 15000 then 'PASS' else 'WARN' end as check_status from feed_orders
+               case when count(*) = (select count(*) from orders) then 'PASS' else 'WARN' end as check_status from feed_orders
         union all
         select 'orphaned_order_items', cast(count(*) as varchar), case when count(*) = 0 then 'PASS' else 'WARN' end
         from order_items i left join feed_orders o on i.order_id = o.order_id where o.order_id is null""",

@@ -454,10 +454,11 @@ def segment_satisfaction(m: Mart) -> DataFrame:
 # --- quality --------------------------------------------------------------------------------
 
 
-@query
-def dq_staging_checks(m: Mart) -> DataFrame:
-    """The expected number of orders is one that a full delivery of this size should have."""
-    return quality_suite.staging_checks(m.feeds, expected_orders=15000)
+@source_query
+def dq_staging_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected number of orders is the number of rows delivered, before any load."""
+    delivered = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    return quality_suite.staging_checks(mart(spark, sf_dir).feeds, expected_orders=delivered)
 
 
 @query

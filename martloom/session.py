@@ -19,10 +19,8 @@ RUNTIME_SETTINGS = {
 }
 
 # One shuffle partition per this much input, so that a partition and its sort fit in a task's
-# memory; AQE merges the ones that turn out small. The upper bound keeps the driver's
-# bookkeeping of map outputs in check.
+# memory; AQE merges the ones that turn out small.
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -40,7 +38,7 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to suit the input; a larger setting is kept."""
-    wanted = min(-(-input_bytes // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return partitions
