@@ -9,30 +9,43 @@ edges are merged: one whose ends are bounds with a single bound between them joi
 rank first, leftmost on a tie. As a higher-order aggregate that took 0.6 ms a word, so it is a small
 loop in the task that puts the texts together.
 
-Documents are dealt into chunks of bounded size by one shuffle. Words are made distinct, put on the
-lattice and handed back inside their chunk, so neither words nor edges are ever shuffled.
+Words are counted over all texts, and those used most, as many as FREQUENT_WORDS, go on the lattice once for the
+whole corpus. Their ids are a table of bounded size, so tasks get it by broadcast and put the texts together
+where they are read: no text is shuffled. Other words are encoded where they are met, by the same rule
+over the same piece table; a corpus with fewer distinct words has all of them on the lattice.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.session import stage
+
 SPACE = "▁"
 WORDS = f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
-# Longer words (boundaries are bits of a long) are merged by a heap in a task.
+# Longer words (boundaries are bits of a long) are encoded where they are met.
 LATTICE_CHARS = 62
-# Text in one task: its words' edges are sorted in memory, about 30 times as much. Executors with more memory
-# take larger chunks, in which more words repeat.
-CHUNK_BYTES = 4 << 20
+# At most so many words are broadcast with their ids: about 100 MB in a Python worker.
+FREQUENT_WORDS = 1 << 19
+# Words that a task counts, or remembers besides the frequent ones, before it starts anew.
+HELD_WORDS = 1 << 18
+# Words on the lattice in one task: their edges, about 30 a word, are sorted in memory.
+LATTICE_WORDS = 1 << 14
+# Uses are told apart in steps of a sixteenth of a doubling when the frequent words are chosen.
+STEPS = 16
 
 
 @dataclass(frozen=True)
@@ -190,6 +203,25 @@ def merge_edges(word: str, edges: list[int], single) -> list[int]:
     return [j for at in range(len(word)) if points >> at & 1 for j in ([merged[at]] if at in merged else single(word[at]))]
 
 
+def merge_pairs(word: str, rank: dict[str, tuple[float, int]], single) -> list[int]:
+    """Ids of a short word by merging the neighbours of best rank, leftmost on a tie."""
+    parts, none = list(word), (float("inf"), -1)
+    pairs = [rank.get(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best is none:
+            break
+        # Equal ranks may be of different pieces, and the leftmost of them goes first.
+        i = next(i for i, p in enumerate(pairs) if p[0] == best[0])
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank.get(parts[i - 1] + parts[i], none)
+        if i < len(pairs):
+            pairs[i] = rank.get(parts[i] + parts[i + 1], none)
+    return [j for p in parts for j in ([rank[p][1]] if p in rank else single(p))]
+
+
 def encode_long(word: str, rank: dict[str, tuple[float, int]], fallback, unigram: bool, longest: int) -> list[int]:
     """One long word, by a heap of possible merges or a running best path."""
     n = len(word)
@@ -241,53 +273,104 @@ def _encoders(table: Pieces):
     def single(char: str) -> list[int]:
         return [rank[char][1]] if char in rank else fallback(char)
 
-    return lambda word: np.array(encode_long(word, rank, fallback, unigram, longest), dtype=np.int32), single
+    def rest(word: str) -> list[int]:
+        if unigram or len(word) > LATTICE_CHARS:
+            return encode_long(word, rank, fallback, unigram, longest)
+        return merge_pairs(word, rank, single)
+
+    return rest, single
 
 
 _WORDS = regex.compile(WORDS)
 
 
-def _assemble(columns: list[str], encode_rest, single):
-    def assemble(key: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if "ids" in known:
-            ids = dict(zip(known["word"], known["ids"]))
-        else:
-            ids = {w: np.array(merge_edges(w, e.tolist(), single), dtype=np.int32) for w, e in zip(known["word"], known["edges"])}
-        none = np.empty(0, dtype=np.int32)
-        out = []
-        for text in docs["text"]:
-            words = _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-            found = [ids[w] if w in ids else encode_rest(w) for w in words]
-            out.append(np.concatenate(found) if found else none)
-        docs = docs[columns].copy()
-        docs["ids"] = out
-        return docs
+def words_of(text: str | None) -> list[str]:
+    return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, uses) of a task's texts; a word may come more than once."""
+    uses: Counter[str] = Counter()
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_pydict({"word": list(uses), "uses": list(uses.values())}, pa.schema([("word", pa.string()), ("uses", pa.int64())]))
+        uses.clear()
+        return out
+
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            uses.update(words_of(text))
+            if len(uses) >= HELD_WORDS:
+                yield flush()
+    yield flush()
+
+
+def frequent_words(docs: DataFrame, most: int = FREQUENT_WORDS) -> DataFrame:
+    """word, uses: the lattice's words that are used most in all texts, at most ``most`` of them.
+
+    The least number of uses comes from a histogram in steps, so nothing is sorted and the rows that
+    reach the driver are bounded."""
+    uses = docs.select("text").mapInArrow(_counted, "word string, uses bigint").groupBy("word").agg(F.sum("uses").alias("uses"))
+    step = F.floor(F.log2("uses") * STEPS).cast("int")
+    uses = stage(uses.where(F.length("word") <= LATTICE_CHARS).withColumn("step", step), "piece-words")
+    least, words = 64 * STEPS, 0
+    for at, n in sorted(uses.groupBy("step").count().collect(), reverse=True):
+        words += n
+        if words > most:
+            break
+        least = at
+    return uses.where(F.col("step") >= least).select("word", "uses")
+
+
+def _merged(single):
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [merge_edges(w, e, single) for w, e in zip(batch.column("word").to_pylist(), batch.column("edges").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+
+    return merged
+
+
+def word_ids(words: DataFrame, table: Pieces) -> DataFrame:
+    """word, ids: every one of ``words`` (distinct) that holds a piece, by its lattice."""
+    parts = max(1, -(-words.count() // LATTICE_WORDS))
+    known = lattice(words.select("word").repartition(parts, "word"), table, ["word"])
+    return fold(known, table, ["word"]) if table.unigram else known.mapInArrow(_merged(_encoders(table)[1]), "word string, ids array<int>")
+
+
+def _assemble(keep: list[str], known: Broadcast, rest):
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, met = known.value, {}
+
+        def other(word: str) -> bytes:
+            if word not in met:
+                if len(met) >= HELD_WORDS:
+                    met.clear()
+                met[word] = np.array(rest(word), dtype=np.int32).tobytes()
+            return met[word]
+
+        for batch in batches:
+            rows = [b"".join([ids[w] if w in ids else other(w) for w in words_of(t)]) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, rows)]) // 4
+            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
+            kept = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*kept, lists.cast(pa.list_(pa.int32()))], [*keep, "ids"])
 
     return assemble
 
 
-def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, most: int = FREQUENT_WORDS) -> DataFrame:
     """The columns ``keep`` (default: all) of every row with ``ids``, the piece ids of the whole text.
 
     Null and empty texts have no ids. Rows stand alone: repeated rows and null ids are encoded like any.
-    A column named ``ids`` is replaced. Rows are numbered to spread them, so ``docs`` should be a table
-    that reads the same way twice.
+    A column named ``ids`` is replaced. ``most`` decides where words are encoded, never what they give.
     """
     keep = [c for c in (keep or docs.columns) if c != "ids"]
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    chunks = max(1, -(-size // chunk_bytes))
-    chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
-    dealt = docs.select(*dict.fromkeys([*keep, "text"]), chunk.alias("_chunk")).repartition(chunks, "_chunk")
-    by = ["_chunk", "word"]
-    each = dealt.select("_chunk", keep[0], F.explode(F.regexp_extract_all(marked(F.col("text")), F.lit(WORDS), F.lit(0))).alias("word"))
-    # Counting a kept column makes both readers of ``dealt`` ask for the same columns, and so share its shuffle.
-    words = each.where(F.length("word") <= LATTICE_CHARS).groupBy(*by).agg(F.count(keep[0]).alias("uses"))
-    known = lattice(words, table, [*by, "uses"])
-    # A word without such pieces is on no lattice; it is encoded where it is met, as long words are.
-    known = (fold(known, table, [*by, "uses"]) if table.unigram else known).withColumnRenamed("_chunk", "_of")
-    kinds = {f.name: f.dataType for f in dealt.schema.fields}
-    schema = T.StructType([T.StructField(c, kinds[c]) for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return dealt.groupBy("_chunk").cogroup(known.groupBy("_of")).applyInPandas(_assemble(keep, *_encoders(table)), schema)
+    known = word_ids(frequent_words(docs, most), table).select("word", "ids").toArrow()
+    ids = {w: np.array(i, dtype=np.int32).tobytes() for w, i in zip(known["word"].to_pylist(), known["ids"].to_pylist())}
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return rows.mapInArrow(_assemble(keep, docs.sparkSession.sparkContext.broadcast(ids), _encoders(table)[0]), schema)
 
 
 def decoded(ids: Column, table: Pieces) -> Column:
