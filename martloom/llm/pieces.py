@@ -63,11 +63,18 @@ class Pieces:
     def longest(self) -> int:
         return max((len(p) for p, ok in zip(self.pieces, self.normal) if ok), default=1)
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        """piece, id, place: the pieces in merge order; equal ranks share a place."""
+    def rows(self) -> list[tuple[str, int, int]]:
+        """(piece, id, place): the pieces in merge order; equal ranks share a place."""
         places = {r: i for i, r in enumerate(sorted({r for r, ok in zip(self.rank, self.normal) if ok}))}
-        rows = [(p, i, places[r]) for i, (p, r, ok) in enumerate(zip(self.pieces, self.rank, self.normal)) if ok]
-        return spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "id", "place"]), "piece string, id int, place int")
+        return [(p, i, places[r]) for i, (p, r, ok) in enumerate(zip(self.pieces, self.rank, self.normal)) if ok]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(pd.DataFrame(self.rows(), columns=["piece", "id", "place"]), "piece string, id int, place int")
+
+    def texts(self) -> list[bytes]:
+        """What each id stands for: the byte of a byte piece, nothing for a control piece."""
+        base = self.byte_base
+        return [bytes([i - base]) if 0 <= base <= i < base + 256 else (p if ok else "").encode() for i, (p, ok) in enumerate(zip(self.pieces, self.normal))]
 
 
 def default_model() -> str:
@@ -203,23 +210,19 @@ def merge_edges(word: str, edges: list[int], single) -> list[int]:
     return [j for at in range(len(word)) if points >> at & 1 for j in ([merged[at]] if at in merged else single(word[at]))]
 
 
-def merge_pairs(word: str, rank: dict[str, tuple[float, int]], single) -> list[int]:
-    """Ids of a short word by merging the neighbours of best rank, leftmost on a tie."""
-    parts, none = list(word), (float("inf"), -1)
-    pairs = [rank.get(a + b, none) for a, b in zip(parts, parts[1:])]
-    while pairs:
-        best = min(pairs)
-        if best is none:
-            break
-        # Equal ranks may be of different pieces, and the leftmost of them goes first.
-        i = next(i for i, p in enumerate(pairs) if p[0] == best[0])
+def merge_pairs(word: str, place: dict[str, int], ident: dict[str, int], single) -> list[int]:
+    """Ids of a short word by merging the neighbours of best place, leftmost on a tie."""
+    parts, none = list(word), len(place)
+    pairs = [place.get(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs and (best := min(pairs)) < none:
+        i = pairs.index(best)
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
         del pairs[i]
         if i:
-            pairs[i - 1] = rank.get(parts[i - 1] + parts[i], none)
+            pairs[i - 1] = place.get(parts[i - 1] + parts[i], none)
         if i < len(pairs):
-            pairs[i] = rank.get(parts[i] + parts[i + 1], none)
-    return [j for p in parts for j in ([rank[p][1]] if p in rank else single(p))]
+            pairs[i] = place.get(parts[i] + parts[i + 1], none)
+    return [j for p in parts for j in ([ident[p]] if p in ident else single(p))]
 
 
 def encode_long(word: str, rank: dict[str, tuple[float, int]], fallback, unigram: bool, longest: int) -> list[int]:
@@ -273,10 +276,13 @@ def _encoders(table: Pieces):
     def single(char: str) -> list[int]:
         return [rank[char][1]] if char in rank else fallback(char)
 
+    place = {p: at for p, _, at in table.rows()}
+    ident = {p: i for p, i, _ in table.rows()}
+
     def rest(word: str) -> list[int]:
         if unigram or len(word) > LATTICE_CHARS:
             return encode_long(word, rank, fallback, unigram, longest)
-        return merge_pairs(word, rank, single)
+        return merge_pairs(word, place, ident, single)
 
     return rest, single
 
@@ -285,7 +291,13 @@ _WORDS = regex.compile(WORDS)
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    """The words of a text, and empty ones between them."""
+    if not text:
+        return []
+    if text[0] == " " or "  " in text or SPACE in text or "\0" in text:
+        return _WORDS.findall(SPACE + text.replace(" ", SPACE))
+    # Every space begins a word, so cutting before spaces and around line feeds gives the same, much faster.
+    return (SPACE + text).replace(" ", "\0" + SPACE).replace("\n", "\0\n\0").split("\0")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +324,7 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT_WORDS) -> DataFrame:
     reach the driver are bounded."""
     uses = docs.select("text").mapInArrow(_counted, "word string, uses bigint").groupBy("word").agg(F.sum("uses").alias("uses"))
     step = F.floor(F.log2("uses") * STEPS).cast("int")
-    uses = stage(uses.where(F.length("word") <= LATTICE_CHARS).withColumn("step", step), "piece-words")
+    uses = stage(uses.where(F.length("word").between(1, LATTICE_CHARS)).withColumn("step", step), "piece-words")
     least, words = 64 * STEPS, 0
     for at, n in sorted(uses.groupBy("step").count().collect(), reverse=True):
         words += n
@@ -373,19 +385,30 @@ def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, most:
     return rows.mapInArrow(_assemble(keep, docs.sparkSession.sparkContext.broadcast(ids), _encoders(table)[0]), schema)
 
 
-def decoded(ids: Column, table: Pieces) -> Column:
-    """The text of piece ids: all bytes in a row, read as UTF-8, marks as spaces, the front one dropped."""
-    base = table.byte_base
-    as_hex = [f"{i - base:02X}" if 0 <= base <= i < base + 256 else (p if ok else "").encode().hex().upper() for i, (p, ok) in enumerate(zip(table.pieces, table.normal))]
-    pieces = F.split(F.lit(",".join(as_hex)), ",")
-    data = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
-    text = F.replace(F.decode(data, "UTF-8"), F.lit(SPACE), F.lit(" "))
-    return F.substring(text, 2, 2147483647)
+def _restored(keep: list[str], texts: list[bytes]):
+    def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = np.array(texts, dtype=object)
+        for batch in batches:
+            lists = batch.column("ids")
+            ends, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+            out = [b"".join(of[ids[a:b]]).decode(errors="replace").replace(SPACE, " ")[1:] for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "decoded"])
+
+    return restored
+
+
+def decode(encoded: DataFrame, table: Pieces) -> DataFrame:
+    """All columns, and ``decoded``: the text of ``ids`` (all bytes in a row, read as UTF-8, marks as spaces,
+    the front one dropped). Null and empty lists give an empty text; a column named ``decoded`` is replaced."""
+    keep = [c for c in encoded.columns if c != "decoded"]
+    rows = encoded.select(*keep).withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(_restored(keep, table.texts()), schema)
 
 
 def encoding_report(docs: DataFrame, table: Pieces) -> DataFrame:
     """doc_id, n_ids, ids, and whether decoding gives the text again (a null one as empty). A text that
     holds the space mark itself comes back with spaces and counts as not restored."""
-    out = encode(docs.select("doc_id", "text"), table)
-    same = decoded(F.col("ids"), table) == F.coalesce(F.col("text"), F.lit(""))
+    out = decode(encode(docs.select("doc_id", "text"), table), table)
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", same.alias("restored"))

@@ -272,6 +272,13 @@ def test_pieces_match_the_library(docs, empty):
     for r in out.collect():
         assert r["ids"] == model.encode(r["text"] or "")
     assert all(r["restored"] for r in pieces.encoding_report(docs, table).collect())
+    few = pieces.encode(docs.select("doc_id", "text"), table, most=50)  # most words are met off the lattice
+    assert all(r["ids"] == model.encode(r["text"] or "") for r in few.collect())
+
+
+@pytest.mark.parametrize("text", ["a b", " a", "a  b ", "a \nb", "\n\na\n b\n", "▁a b", "a\0b", "\n"])
+def test_words_are_cut_alike(text):
+    assert [w for w in pieces.words_of(text) if w] == pieces._WORDS.findall("▁" + text.replace(" ", "▁"))
 
 
 def test_unigram_fold_is_viterbi(make):
