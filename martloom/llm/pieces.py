@@ -38,10 +38,12 @@ SPACE = "▁"
 WORDS = f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
 # Longer words (boundaries are bits of a long) are encoded where they are met.
 LATTICE_CHARS = 62
-# At most so many words are broadcast with their ids: about 100 MB in a Python worker.
-FREQUENT_WORDS = 1 << 19
+# At most so many words are broadcast with their ids: about 60 MB in a Python worker.
+FREQUENT_WORDS = 1 << 18
 # Words that a task counts, or remembers besides the frequent ones, before it starts anew.
-HELD_WORDS = 1 << 18
+HELD_WORDS = 1 << 17
+# Rows that a task holds as Python objects at once.
+SLICE_ROWS = 256
 # Words on the lattice in one task: their edges, about 30 a word, are sorted in memory.
 LATTICE_WORDS = 1 << 14
 # Uses are told apart in steps of a sixteenth of a doubling when the frequent words are chosen.
@@ -300,6 +302,12 @@ def words_of(text: str | None) -> list[str]:
     return (SPACE + text).replace(" ", "\0" + SPACE).replace("\n", "\0\n\0").split("\0")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, uses) of a task's texts; a word may come more than once."""
     uses: Counter[str] = Counter()
@@ -309,7 +317,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses.clear()
         return out
 
-    for batch in batches:
+    for batch in _slices(batches):
         for text in batch.column("text").to_pylist():
             uses.update(words_of(text))
             if len(uses) >= HELD_WORDS:
@@ -361,7 +369,7 @@ def _assemble(keep: list[str], known: Broadcast, rest):
                 met[word] = np.array(rest(word), dtype=np.int32).tobytes()
             return met[word]
 
-        for batch in batches:
+        for batch in _slices(batches):
             rows = [b"".join([ids[w] if w in ids else other(w) for w in words_of(t)]) for t in batch.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, rows)]) // 4
             lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
@@ -388,7 +396,7 @@ def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, most:
 def _restored(keep: list[str], texts: list[bytes]):
     def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = np.array(texts, dtype=object)
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column("ids")
             ends, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
             out = [b"".join(of[ids[a:b]]).decode(errors="replace").replace(SPACE, " ")[1:] for a, b in zip(ends, ends[1:])]
