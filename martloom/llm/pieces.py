@@ -38,10 +38,10 @@ SPACE = "▁"
 WORDS = f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
 # Longer words (boundaries are bits of a long) are encoded where they are met.
 LATTICE_CHARS = 62
-# At most so many words are broadcast with their ids: about 60 MB in a Python worker.
-FREQUENT_WORDS = 1 << 18
+# At most so many words are broadcast with their ids: about 30 MB in a Python worker.
+FREQUENT_WORDS = 1 << 17
 # Words that a task counts, or remembers besides the frequent ones, before it starts anew.
-HELD_WORDS = 1 << 17
+HELD_WORDS = 1 << 16
 # Rows that a task holds as Python objects at once.
 SLICE_ROWS = 256
 # Words on the lattice in one task: their edges, about 30 a word, are sorted in memory.
