@@ -125,28 +125,31 @@ def build_graph(points: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarr
 
 
 def _link_back(points: np.ndarray, graph: np.ndarray, own: np.ndarray, alpha: float) -> None:
-    to, source = graph[own].ravel(), np.repeat(own, graph.shape[1])
+    """Every neighbour of ``own`` gets the link back; lists that grow over the degree are pruned."""
+    n, degree = graph.shape
+    to, source = graph[own].ravel(), np.repeat(own, degree)
     to, source = to[to >= 0], source[to >= 0]
-    order = np.argsort(to, kind="stable")
-    to, source = to[order], source[order]
-    nodes, first = np.unique(to, return_index=True)
-    full, wanted = [], []
-    for node, new in zip(nodes.tolist(), np.split(source, first[1:])):
-        known = graph[node][graph[node] >= 0]
-        both = np.unique(np.concatenate([known, new]))
-        if len(both) <= graph.shape[1]:
-            graph[node, : len(both)] = both
-            graph[node, len(both) :] = -1
-        else:
-            full.append(node)
-            wanted.append(both)
-    for at in range(0, len(full), BATCH):
-        some = wanted[at : at + BATCH]
-        padded = np.full((len(some), max(map(len, some))), -1, dtype=np.int64)
-        for i, w in enumerate(some):
-            padded[i, : len(w)] = w
-        nodes_now = np.array(full[at : at + BATCH])
-        graph[nodes_now] = robust_prune(points, nodes_now, padded, graph.shape[1], alpha)
+    nodes = np.unique(to)
+    if not len(nodes):
+        return
+    known = graph[nodes]
+    pairs = np.sort(np.concatenate([to * n + source, (nodes[:, None] * n + known)[known >= 0]]))
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+    counts = np.bincount(np.searchsorted(nodes, pairs // n), minlength=len(nodes))
+    order = np.argsort(counts, kind="stable")  # lists of like length are pruned together
+    starts = np.cumsum(counts) - counts
+    fits = order[counts[order] <= degree]
+    long = order[len(fits) :]
+
+    def lists(some: np.ndarray, width: int) -> np.ndarray:
+        at = np.arange(width)
+        inside = at < counts[some, None]
+        return np.where(inside, pairs[np.minimum(starts[some, None] + at, len(pairs) - 1)] % n, -1)
+
+    graph[nodes[fits]] = lists(fits, degree)
+    for at in range(0, len(long), BATCH):
+        some = long[at : at + BATCH]
+        graph[nodes[some]] = robust_prune(points, nodes[some], lists(some, counts[some[-1]]), degree, alpha)
 
 
 GRAPH = "dim int, shard int, vectors binary, graph binary, entries binary, ids binary, starts binary"
@@ -173,7 +176,9 @@ def build_index(vectors: DataFrame, k: int = NEAREST, shard_vectors: int = SHARD
     nodes = stage(kept.groupBy("vector").agg(F.collect_list("vec_id").alias("ids")).withColumn("hash", F.xxhash64("vector")), "graph-nodes")
     shards = max(1, -(-nodes.count() // shard_vectors))
     dealt = nodes.withColumns({"dim": F.size("vector"), "shard": F.pmod("hash", F.lit(shards)).cast("int")})
-    return stage(dealt.groupBy("dim", "shard").applyInPandas(_build, GRAPH), "graph-shards")
+    # One task a shard: by default small shuffle partitions, thus whole shards, would be put together.
+    apart = dealt.repartitionByRange(shards, "dim", "shard")
+    return stage(apart.groupBy("dim", "shard").applyInPandas(_build, GRAPH), "graph-shards")
 
 
 def _search(k: int):
@@ -221,7 +226,8 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = NEAREST, query_block:
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(int(shards)))))
     graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     by = ["dim", "shard", "block"]
-    found = graphs.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(_search(k), "query_id long, vec_id long, score double")
+    tasks = 2 * blocks * (int(shards) + 1)
+    found = graphs.repartition(tasks, *by).groupBy(*by).cogroup(asked.repartition(tasks, *by).groupBy(*by)).applyInPandas(_search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.where("query_id != vec_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
