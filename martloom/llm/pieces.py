@@ -44,6 +44,8 @@ FREQUENT_WORDS = 1 << 17
 HELD_WORDS = 1 << 16
 # Rows that a task holds as Python objects at once.
 SLICE_ROWS = 256
+# Bytes of the rows that Spark hands to a task at once (its own limit of 64 MB holds many such slices).
+BATCH_BYTES = 2 << 20
 # Words on the lattice in one task: their edges, about 30 a word, are sorted in memory.
 LATTICE_WORDS = 1 << 14
 # Uses are told apart in steps of a sixteenth of a doubling when the frequent words are chosen.
@@ -384,8 +386,10 @@ def encode(docs: DataFrame, table: Pieces, keep: list[str] | None = None, most:
 
     Null and empty texts have no ids. Rows stand alone: repeated rows and null ids are encoded like any.
     A column named ``ids`` is replaced. ``most`` decides where words are encoded, never what they give.
+    The session's Arrow batches are limited to BATCH_BYTES, for this plan and those after it.
     """
     keep = [c for c in (keep or docs.columns) if c != "ids"]
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     known = word_ids(frequent_words(docs, most), table).select("word", "ids").toArrow()
     ids = {w: np.array(i, dtype=np.int32).tobytes() for w, i in zip(known["word"].to_pylist(), known["ids"].to_pylist())}
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
