@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import UNKNOWN_KEY
+from martloom.session import stage
 
 
 class DuplicateKeys(RuntimeError):
@@ -62,11 +63,18 @@ def unmatched(rows: DataFrame, other: DataFrame, on: Mapping[str, str], other_un
     """Rows (NULL keys included) whose key does not occur in ``other``.
 
     Unless the keys of ``other`` are known to be unique they are made so first: an anti join
-    can split a hot key on its left side only, so one on the right must not stay large.
+    can split a hot key on its left side only, so one on the right must not stay large. They are
+    staged, since AQE splits a join only if nothing stands between it and its shuffles.
     """
-    right = other.select(*[F.col(o).alias(f"_other_{o}") for o in on.values()])
-    if not other_unique:
-        right = right.distinct()
+    right = _other_keys(other, on)
+    return _anti_join(rows, right if other_unique else stage(right.distinct(), "distinct-keys"), on)
+
+
+def _other_keys(other: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    return other.select(*[F.col(o).alias(f"_other_{o}") for o in on.values()])
+
+
+def _anti_join(rows: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
     return rows.join(right, [rows[r] == right[f"_other_{o}"] for r, o in on.items()], "left_anti")
 
 
@@ -79,7 +87,8 @@ def count_unmatched(
     """
     per_key = rows.groupBy(*on).agg(F.count("*").alias("_n"))
     total = F.coalesce(F.sum("_n"), F.lit(0).cast("bigint"))
-    return unmatched(per_key, other, on, other_unique).agg(total.alias(name))
+    right = _other_keys(other, on)  # neither side has a hot key here, so nothing needs splitting
+    return _anti_join(per_key, right if other_unique else right.distinct(), on).agg(total.alias(name))
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

@@ -31,6 +31,11 @@ def expire_changed(dim: DataFrame, feed: DataFrame, key: str, attributes: Sequen
     return joined.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in dim.columns])
 
 
+def keyless(feed: DataFrame, key: str) -> DataFrame:
+    """Rows of a delivery that no version can be made of, because their key is NULL."""
+    return feed.where(F.col(key).isNull())
+
+
 def scd2_merge(
     dim: DataFrame,
     feed: DataFrame,
@@ -41,8 +46,9 @@ def scd2_merge(
 ) -> DataFrame:
     """The dimension after a delivery of the source: changed keys get a new version, new keys
     their first one. Keys missing from the delivery stay current, unchanged data changes nothing.
+    Rows without a key can't be versioned and are left out; ``keyless`` gives them.
     """
-    require_unique(feed.where(F.col(key).isNotNull()), [key], "feed")
+    feed = require_unique(feed.where(F.col(key).isNotNull()), [key], "feed")
     # Needed twice (as the result and to see which keys still have a current version).
     versions = stage(expire_changed(dim, feed, key, attributes, as_of), f"{surrogate}-versions")
     current = versions.where("is_current = 1").select(key)

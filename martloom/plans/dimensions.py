@@ -198,8 +198,8 @@ def _mean_coordinate(axis: str):
 
 
 def dim_seller(sellers: DataFrame, effective: date) -> DataFrame:
-    """First load of the versioned seller dimension: every seller current and open-ended."""
-    first_versions = sellers.select(
+    """First load of the versioned seller dimension: every seller with a key current and open-ended."""
+    first_versions = sellers.where(F.col("seller_id").isNotNull()).select(
         "seller_id",
         "seller_city",
         "seller_state",

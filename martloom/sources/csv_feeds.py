@@ -44,6 +44,7 @@ def read_csv(
     reader = (
         spark.read.schema(with_reject)
         .option("header", True)
+        .option("enforceSchema", False)  # columns are taken by place, so a header in another order is an error
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", '"')

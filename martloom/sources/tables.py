@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Warehouse layers.
 LAYERS = ("staging", "intermediate", "mart", "dq")
@@ -16,8 +17,9 @@ class Warehouse:
 
     A table is a list of snapshots. A rewrite (rebuild, update, type-2 merge) writes a new
     snapshot and then adds one row to the ``current`` log, so a failed write is never read and
-    no job overwrites the files it is reading. A snapshot may consist of numbered batches, to
-    which incremental loads add.
+    no job overwrites the files it is reading. The row holds the snapshot's schema too, so a table
+    without rows can be read. A snapshot may consist of numbered batches, to which incremental loads
+    add; each is read once its row is in the ``batches`` log.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -35,10 +37,24 @@ class Warehouse:
 
     def version(self, layer: str, table: str) -> int:
         """Number of the current snapshot, 0 when the table does not exist."""
+        return self._snapshot(layer, table)[0]
+
+    def _snapshot(self, layer: str, table: str) -> tuple[int, T.StructType | None]:
+        """Number and schema of the current snapshot."""
         log = f"{self._folder(layer, table)}/current"
         if not self._exists(log):
-            return 0
-        return self.spark.read.schema("version int").parquet(log).agg(F.max("version")).first()[0] or 0
+            return 0, None
+        rows = self.spark.read.schema("version int, columns string").parquet(log)
+        version, columns = rows.agg(F.max("version"), F.max_by("columns", "version")).first()
+        return version or 0, T.StructType.fromDDL(columns) if columns else None
+
+    def _batches(self, layer: str, table: str, version: int) -> dict[int, int]:
+        """Recorded batches of a snapshot, each with its latest attempt."""
+        log = f"{self._folder(layer, table)}/batches"
+        if not self._exists(log):
+            return {}
+        rows = self.spark.read.schema("version int, load_batch int, load_attempt int").parquet(log)
+        return dict(map(tuple, rows.where(F.col("version") == version).groupBy("load_batch").agg(F.max("load_attempt")).collect()))
 
     def exists(self, layer: str, table: str) -> bool:
         return self.version(layer, table) > 0
@@ -47,7 +63,7 @@ class Warehouse:
         """Replace the table by ``df`` and return it as read back."""
         version = self.version(layer, table) + 1
         self._write_files(df, f"{self._folder(layer, table)}/version={version}", partition_by)
-        self._make_current(layer, table, version)
+        self._make_current(layer, table, version, df.schema)
         return self.read(layer, table)
 
     def append(
@@ -61,20 +77,30 @@ class Warehouse:
     ) -> None:
         """Add one numbered batch; the table then has the column ``load_batch``.
 
-        Writing the same batch again replaces it, so a load can be repeated after a failure.
+        Writing the same batch again replaces it, so a load can be repeated after a failure. It is a
+        further attempt in a folder of its own: readers see the old rows until it is recorded.
         ``fresh`` starts a new snapshot with this batch as its only one.
         """
         current = self.version(layer, table)
         version = current + 1 if fresh else max(current, 1)
-        self._write_files(df, f"{self._folder(layer, table)}/version={version}/load_batch={batch}", partition_by)
+        attempt = self._batches(layer, table, version).get(batch, 0) + 1
+        self._write_files(df, self._batch_folder(layer, table, version, batch, attempt), partition_by)
+        self._record(layer, table, "batches", version=version, load_batch=batch, load_attempt=attempt)
         if version != current:
-            self._make_current(layer, table, version)
+            self._make_current(layer, table, version, T.StructType([*df.schema, T.StructField("load_batch", T.IntegerType())]))
+
+    def _batch_folder(self, layer: str, table: str, version: int, batch: int, attempt: int) -> str:
+        return f"{self._folder(layer, table)}/version={version}/load_batch={batch}/load_attempt={attempt}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        version = self.version(layer, table)
+        version, schema = self._snapshot(layer, table)
         if not version:
             raise LookupError(f"{layer}.{table} has not been written")
-        return self.spark.read.parquet(f"{self._folder(layer, table)}/version={version}")
+        folder = f"{self._folder(layer, table)}/version={version}"
+        batches = self._batches(layer, table, version)
+        paths = [self._batch_folder(layer, table, version, b, a) for b, a in sorted(batches.items())] or [folder]
+        reader = self.spark.read.option("basePath", folder)
+        return (reader.schema(schema) if schema else reader).parquet(*paths).drop("load_attempt")
 
     def _write_files(self, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
         """Partitioned tables are rebalanced by the partition columns first: few, evenly sized
@@ -83,6 +109,10 @@ class Warehouse:
             df = df.hint("rebalance", *partition_by)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
-    def _make_current(self, layer: str, table: str, version: int) -> None:
-        row = self.spark.range(0, 1, 1, 1).select(F.lit(version).alias("version"))
-        row.write.mode("append").parquet(f"{self._folder(layer, table)}/current")
+    def _make_current(self, layer: str, table: str, version: int, schema: T.StructType) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self._record(layer, table, "current", version=version, columns=columns)
+
+    def _record(self, layer: str, table: str, log: str, **values: object) -> None:
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(c) for c, v in values.items()])
+        row.write.mode("append").parquet(f"{self._folder(layer, table)}/{log}")

@@ -171,3 +171,32 @@ def test_partitioned_fact_is_pruned_by_month(warehouse, make, operators):
     january = stored.where("month_sk = 201801")
     assert january.count() == 1
     assert "PartitionFilters: [isnotnull(month_sk" in operators(january)
+
+
+def test_tables_without_rows_are_read_back(warehouse, make):
+    rows = make("month_sk int, v string", [(1, "a")])
+    assert warehouse.write(rows.where("v = 'b'"), "mart", "none", ["month_sk"]).count() == 0
+    warehouse.append(rows.where("v = 'b'"), "mart", "later", 1, ["month_sk"])
+    assert warehouse.read("mart", "later").count() == 0
+    warehouse.append(rows, "mart", "later", 2, ["month_sk"])
+    got = warehouse.read("mart", "later").select("v", "month_sk", "load_batch").collect()
+    assert [tuple(r) for r in got] == [("a", 1, 2)]
+
+
+def test_unrecorded_batches_are_not_read(warehouse, make, monkeypatch):
+    rows = make("v int", [(1,)])
+    warehouse.append(rows, "mart", "t", 1)
+
+    def lost(*args, **values):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(warehouse, "_record", lost)
+        for batch in (1, 2):
+            with pytest.raises(RuntimeError, match="driver lost"):
+                warehouse.append(rows.selectExpr("v + 1 as v"), "mart", "t", batch)
+    read = lambda: sorted(tuple(r) for r in warehouse.read("mart", "t").collect())
+    assert read() == [(1, 1)]
+    warehouse.append(rows.selectExpr("v + 2 as v"), "mart", "t", 1)
+    warehouse.append(rows.selectExpr("v + 3 as v"), "mart", "t", 2)
+    assert read() == [(3, 1), (4, 2)]

@@ -87,6 +87,9 @@ def test_hot_join_keys_are_split(spark, dim, make):
         counted = got.where("length(pad) = 64").select("id", "sk", "pad")
         counted.collect()
         assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+        orphans = unmatched(facts, members, {"code": "code"})
+        assert len(orphans.collect()) == 20000
+        assert "skew=true" in orphans._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

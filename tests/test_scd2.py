@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from martloom.operators.lookup import DuplicateKeys
-from martloom.operators.scd2 import scd2_merge
+from martloom.operators.scd2 import keyless, scd2_merge
 from martloom.plans.dimensions import dim_seller
 
 START, AS_OF, OPEN = date(2016, 1, 1), date(2018, 6, 1), date(9999, 12, 31)
@@ -49,6 +49,14 @@ def test_merging_the_same_feed_again_changes_nothing(dim, feed, collect):
     assert collect(merge(once, feed, date(2019, 1, 1))) == collect(once)
 
 
+def test_rows_without_a_key_are_left_out(dim, feed, make, collect):
+    more = feed.unionByName(make(SCHEMA, [(None, "c", "SP"), (None, "d", "SP")]))
+    once = merge(dim, more)
+    assert collect(once) == collect(merge(dim, feed)) == collect(merge(once, more))
+    assert keyless(more, "seller_id").count() == 2
+    assert dim_seller(more, START).where("seller_id is null").count() == 0
+
+
 def test_history_is_half_open(dim, feed):
     versions = merge(dim, feed).where("seller_id = 'moved'").orderBy("effective_date").collect()
     assert versions[0]["expiry_date"] == versions[1]["effective_date"]
