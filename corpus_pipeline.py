@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import mixing, pieces, quality_qda, secrets, simhash
+from martloom.llm import mixing, near_copies, pieces, quality_qda, secrets, simhash
 from martloom.llm.common import staged_with_row, table
 from martloom.session import stage
 
@@ -25,10 +25,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays; of rows that repeat it, one."""
+    """Of each group the document with the smallest id stays; of rows that repeat it, one. A group is linked
+    by fingerprints within 3 bits and by five-word shingles of similarity 0.8 or more."""
     columns = docs.columns
     rows = staged_with_row(docs, "near-docs")
-    marked = simhash.near_duplicates(rows.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row")).alias("doc_id"), "text"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    marked = simhash.near_duplicates(rows.select(place.alias("doc_id"), "_row", "text"), near_copies.links)
     first = marked.where("doc_id = component_id").select(F.col("doc_id.row").alias("_row"))
     return rows.join(first, "_row", "left_semi").select(*columns)
 

@@ -1,0 +1,151 @@
+"""Near copies by exact Jaccard similarity of word shingles; candidates come from MinHash bands.
+
+SimHash distances of texts with similarity 0.8 are spread about 8 of 64 bits, and a bound that wide leaves
+no positional bytes to index. So candidates are met by bands instead: two texts whose ROWS minima agree in
+any of BANDS bands. A pair of similarity s is missed with chance (1 - s^ROWS)^BANDS, at 0.8 about 3 in a
+million. Every candidate is verified on all shingles of both texts.
+
+Texts of the same words are one node. Postings with the same members count once. Short postings are joined
+with themselves; long ones go block by block and return a spanning forest of their links.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martloom.session import stage
+
+SHINGLE = 5
+LEAST = 0.8
+BANDS = 24
+ROWS = 4
+SEED = 23
+SHORT_POSTING = 16
+BLOCK = 256  # a task holds the texts of two blocks
+
+_RNG = np.random.default_rng(SEED)
+_PLACES = _RNG.integers(0, 1 << 63, size=SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_TIMES = _RNG.integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _RNG.integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64)
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """ASCII white space and ASCII lower case, as for fingerprints."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shingles(words: list[bytes]) -> np.ndarray:
+    """Distinct 64-bit hashes of the word shingles, sorted; a text of fewer words is one shingle."""
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    if len(words) < SHINGLE:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), SEED)], dtype=np.uint64)
+    known: dict[bytes, int] = {}
+    for w in words:
+        if w not in known:
+            known[w] = xxhash.xxh3_64_intdigest(w, SEED)
+    h = np.array([known[w] for w in words], dtype=np.uint64)
+    n = len(words) - SHINGLE + 1
+    total = np.zeros(n, dtype=np.uint64)
+    for i in range(SHINGLE):
+        total += h[i : i + n] * _PLACES[i]
+    return np.unique(total ^ (total >> np.uint64(29)))
+
+
+def bands(found: np.ndarray) -> list[int]:
+    """A signed 64-bit key for each band; none for no shingles."""
+    if not len(found):
+        return []
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(found), 1024):  # bounded memory for very long texts
+        low = np.minimum(low, (found[at : at + 1024, None] * _TIMES + _PLUS).min(axis=0))
+    return [xxhash.xxh3_64_intdigest(part.tobytes(), i) - (1 << 63) for i, part in enumerate(low.reshape(BANDS, ROWS))]
+
+
+@F.pandas_udf(T.StructType([T.StructField("words", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
+def _signed(texts: pd.Series) -> pd.DataFrame:
+    out = []
+    for text in texts:
+        words = words_of(text)
+        out.append((xxhash.xxh3_128_digest(b" ".join(words)), bands(shingles(words))))
+    return pd.DataFrame(out, columns=["words", "bands"])
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
+@F.pandas_udf(T.BooleanType())
+def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([similarity(shingles(words_of(x)), shingles(words_of(y))) >= LEAST for x, y in zip(a, b)], dtype=bool)
+
+
+def _forest(group: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest of the links between (or inside) the two blocks of a block pair."""
+    group = group.reset_index(drop=True)
+    sets = [shingles(words_of(t)) for t in group["text"]]
+    side = group["side"].to_numpy()
+    left = np.nonzero(side == 0)[0]
+    right = np.nonzero(side == 1)[0] if (side == 1).any() else left
+    owner = np.repeat(right, [len(sets[j]) for j in right])
+    pool = np.concatenate([sets[j] for j in right])
+    order = np.argsort(pool, kind="stable")
+    pool, owner = pool[order], owner[order]
+    sizes = np.array([len(s) for s in sets])
+    parent = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    for i in left.tolist():
+        lo, hi = np.searchsorted(pool, sets[i]), np.searchsorted(pool, sets[i], side="right")
+        met = hi - lo
+        at = np.repeat(lo - (np.cumsum(met) - met), met) + np.arange(met.sum())
+        both = np.bincount(owner[at], minlength=len(sets))
+        for j in np.nonzero((both > 0) & (both >= LEAST * (sizes[i] + sizes - both)))[0].tolist():
+            a, b = find(i), find(j)
+            if a != b:
+                parent[a] = b
+                out.append((group.at[i, "fp"], group.at[j, "fp"]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """(a, b) pairs of ``fp`` that connect what similarity LEAST or more links. ``docs``: (_row, fp, text),
+    written down, so that rows keep their numbers."""
+    signed = docs.select("_row", "fp", _signed("text").alias("s")).where(F.size("s.bands") > 0)
+    nodes = stage(signed.groupBy("s.words").agg(F.min(F.struct("_row", "fp", "s.bands")).alias("n")).select("n.*"), "copies-nodes")
+    postings = nodes.select("_row", "fp", F.explode("bands").alias("key"))
+    members = postings.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("_row")).alias("all"), F.sum(F.shiftright(F.xxhash64("_row"), 24)).alias("sum")).where("n > 1")
+    once = members.groupBy("n", "all", "sum").agg(F.min("key").alias("key")).select("key", "n")
+    met = stage(postings.join(once, "key"), "copies-postings")
+
+    short = met.where(F.col("n") <= SHORT_POSTING)
+    a, b = short.alias("a"), short.alias("b")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a._row") < F.col("b._row"))).select(
+        F.col("a._row").alias("x"), F.col("b._row").alias("y"), F.col("a.fp").alias("a"), F.col("b.fp").alias("b")
+    )
+    pairs = stage(pairs.where("a != b").distinct(), "copies-pairs")
+    texts = docs.select("_row", "text")
+    both = pairs.join(texts.select(F.col("_row").alias("x"), F.col("text").alias("s")), "x").join(texts.select(F.col("_row").alias("y"), F.col("text").alias("t")), "y")
+    short_links = both.where(_alike("s", "t")).select("a", "b")
+
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("_row"), blocks).cast("int")
+    long = (
+        met.where(F.col("n") > SHORT_POSTING).withColumns({"blocks": blocks, "own": own})
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("_row", "key", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    )
+    long_links = long.join(texts, "_row").drop("_row").groupBy("key", "i", "j").applyInPandas(_forest, "a long, b long")
+    return short_links.union(long_links).where("a != b").distinct()

@@ -14,6 +14,7 @@ returns a spanning forest of the links it finds: never more rows than fingerprin
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -140,16 +141,24 @@ def links(fps: DataFrame) -> DataFrame:
     return short_links.union(long_links).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, further: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, fp, component_id: the smallest id reachable over links, itself included.
 
+    ``further`` adds links (a, b) between fingerprints; it is given ``docs`` with their fingerprints, read again.
+
     One row per input row. Null texts and texts without words have fingerprint 0, linked like any
     other. Null ids are never the smallest; a component of null ids alone has a null one. Only
     doc_id and text are read.
     """
-    marked = stage(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "simhash-fps")
+    if further is None:
+        marked = stage(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "simhash-fps")
+    else:
+        marked = stage(with_fingerprint(docs), "simhash-fps")
     groups = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
-    joined = components(links(groups.select("fp")), "a", "b")  # node, root: only linked fingerprints
+    linked = links(groups.select("fp"))
+    if further is not None:
+        linked = linked.union(further(marked))
+    joined = components(linked, "a", "b")  # node, root: only linked fingerprints
     in_component = groups.join(joined, groups["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = in_component.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = in_component.where(F.col("root") != F.col("fp")).select("fp", "root").join(least, "root").select("fp", "component_id")

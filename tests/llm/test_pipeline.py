@@ -2,10 +2,11 @@
 
 import os
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from martloom.llm import queries, simhash
+from martloom.llm import near_copies, queries, simhash
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,3 +33,62 @@ def test_stages(spark):
 
 def test_every_operator_has_a_query():
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+
+
+def test_near_copies_of_many_bits_go(spark, make, monkeypatch):
+    rng = np.random.default_rng(3)
+    word = lambda: "w" + str(rng.integers(0, 10**6))
+    rows = []
+    for i in range(30):
+        text = [word() for _ in range(120)]
+        near, far = text.copy(), text.copy()
+        for at in (30, 90):  # 10 of 116 shingles change: similarity 106 / 126
+            near[at] = word()
+        for at in range(5, 120, 12):
+            far[at] = word()
+        rows += [(3 * i, " ".join(text)), (3 * i + 1, " ".join(near)), (3 * i + 2, " ".join(far))]
+    prints = [simhash.fingerprint(t) for _, t in rows]
+    assert sum((prints[i] ^ prints[i + 1]) & (2**64 - 1) != 0 and ((prints[i] ^ prints[i + 1]) & (2**64 - 1)).bit_count() > 3 for i in range(0, 90, 3)) > 15
+    docs = make("doc_id long, text string", [*rows, (None, None), (900, ""), (901, "one two"), (902, "One  two")])
+    wanted = sorted([i for i, _ in rows if i % 3 != 1] + [900, 901])
+    for short in (16, 1):  # by pairs, then block by block
+        monkeypatch.setattr(near_copies, "SHORT_POSTING", short)
+        kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+        assert sorted(r["doc_id"] for r in kept) == wanted
+
+
+def test_bands_meet_all_pairs_of_exact_similarity(spark, make):
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, size=200)]
+    texts = []
+    for _ in range(60):
+        t = base.copy()
+        for at in rng.choice(200, rng.integers(0, 9), replace=False):
+            t[at] = f"x{rng.integers(0, 10**6)}"
+        texts.append(" ".join(t))
+    sets = [near_copies.shingles(near_copies.words_of(t)) for t in texts]
+    parent = list(range(60))
+
+    def find(i):
+        return i if parent[i] == i else find(parent[i])
+
+    for i in range(60):
+        for j in range(i):
+            a, b = ({tuple(t.split()[k : k + 5]) for k in range(196)} for t in (texts[i], texts[j]))
+            assert near_copies.similarity(sets[i], sets[j]) == len(a & b) / len(a | b)
+            if len(a & b) >= 0.8 * len(a | b):
+                parent[find(i)] = find(j)
+    found = near_copies.links(make("_row long, fp long, text string", [(i, texts.index(t), t) for i, t in enumerate(texts)])).collect()
+    again = [texts.index(t) for t in texts]  # equal texts have one fingerprint
+    for r in found:
+        x, y = r["a"], r["b"]
+        while again[x] != x:
+            x = again[x]
+        while again[y] != y:
+            y = again[y]
+        again[x] = y
+
+    def root(i):
+        return i if again[i] == i else root(again[i])
+
+    assert {(i, j) for i in range(60) for j in range(60) if root(i) == root(j)} == {(i, j) for i in range(60) for j in range(60) if find(i) == find(j)}
