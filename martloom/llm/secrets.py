@@ -5,9 +5,10 @@ e-mail address, a short labelled value, a mixed token, an endpoint) are common i
 are reported only together: a weak secret needs an identifier near it, a weak identifier a secret,
 an endpoint both. "Near" is within REACH characters in the same scope (a block between blank lines).
 
-Linking is an interval join on (row, scope, bin) with bins of REACH characters. Per bin and role only the
-first and last start are kept, which decides the join exactly: a part's reach is longer than a bin, so
-it cannot begin and end inside one. No pairs of parts are ever written out.
+Linking is an interval join on (row, scope, bin) with bins of REACH characters. A part is in every bin from its
+start to its end. Per bin and role only the smallest start and the largest end are kept, which decides the join
+exactly: a part too early and one too late are over two reaches apart, so they share no bin. No pairs of parts are
+ever written out.
 """
 
 from __future__ import annotations
@@ -112,7 +113,8 @@ def _linked(parts: DataFrame) -> DataFrame:
     """(row, links): each row's weak parts whose complements are near."""
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("p.kind") + 1)
     each = parts.select("_row", F.explode("_parts").alias("p")).select("_row", "p.*", role.alias("role"))
-    bins = each.where("role != 'endpoint'").groupBy("_row", "scope", "role", F.floor(F.col("start") / REACH).alias("bin")).agg(F.min("start").alias("low"), F.max("start").alias("high"))
+    covered = F.explode(F.sequence(F.floor(F.col("start") / REACH), F.floor(F.col("end") / REACH)))
+    bins = each.where("role != 'endpoint'").withColumn("bin", covered).groupBy("_row", "scope", "role", "bin").agg(F.min("start").alias("low"), F.max("end").alias("high"))
     weak = each.where(F.col("kind") >= BASE_KINDS)
     reach = weak.withColumn("bin", F.explode(F.sequence(F.floor((F.col("start") - REACH) / REACH), F.floor((F.col("end") + REACH) / REACH))))
     near = (
