@@ -2,8 +2,9 @@
 
 Each line with a word gets a few shares as features. A two-state chain with learned emission and
 transition weights is decoded by Viterbi over all lines of a text; the share of words in content lines
-decides. The chain is fitted on the driver, on a bounded sample of labelled documents (SAMPLE per label,
-LINES lines each): all lines of a good document count as content, all of a bad one as boilerplate.
+decides. The chain is fitted on the driver, on all lines of a bounded sample of labelled documents (SAMPLE and
+FIT_LINES lines per label; documents are taken whole or not at all): all lines of a good document count as
+content, all of a bad one as boilerplate.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql.window import Window
 from martloom.llm.quality_qda import held_out
 
 SAMPLE = 1000  # labelled documents per label that the chain is fitted on
-LINES = 32  # their first lines, as many as this
+FIT_LINES = 500_000  # their lines in total, per label
+LONGEST = 20_000  # a document of more lines is not sampled
 STEPS = 200
 RATE = 2.0
 RIDGE = 1e-3
@@ -98,54 +100,62 @@ def fit_chain(sequences: list[np.ndarray], labels: list[int]) -> Chain:
     sequences, y = [sequences[i] for i in order], np.array([labels[i] for i in order], dtype=float)
     lengths = np.array([len(s) for s in sequences])
     longest = int(lengths.max())
-    x = np.zeros((len(sequences), longest, width))
+    # Lines lie one after the other, first all first lines, then all second ones: no padding to the longest sequence.
+    # Sequences are sorted, so the first active[t] reach line t.
+    active = np.searchsorted(-lengths, -np.arange(longest), side="left")
+    at = np.concatenate([[0], np.cumsum(active)])
+    total = int(at[-1])
+    x, owner, line = np.empty((total, width)), np.empty(total, dtype=np.int64), np.repeat(np.arange(longest), active)
     for i, s in enumerate(sequences):
-        x[i, : len(s)] = s
-    inside = np.arange(longest)[None, :] < lengths[:, None]
-    active = inside.sum(axis=0)  # sequences are sorted, so the first active[t] reach line t
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / lengths  # labels count alike
+        places = at[: len(s)] + i
+        x[places], owner[places] = s, i
+    before = (at[np.maximum(line - 1, 0)] + owner)[active[0] :]  # place of the line before, for all but first lines
+    weight = (np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / lengths)[owner]  # labels count alike
+    y = y[owner]
     emit, stay, first = np.zeros(width), 0.0, 0.0
     for _ in range(STEPS):
         g = x @ emit
-        forward = np.zeros((len(sequences), longest))  # log odds of content given the lines so far, emission included
-        forward[:, 0] = g[:, 0] + first
+        forward = g.copy()  # log odds of content given the lines so far, emission included
+        forward[: active[0]] += first
         for t in range(1, longest):
-            k = active[t]
-            p = forward[:k, t - 1]
-            forward[:k, t] = g[:k, t] + np.logaddexp(p + stay, 0) - np.logaddexp(p, stay)
-        backward = np.zeros_like(forward)
+            p = forward[at[t - 1] : at[t - 1] + active[t]]
+            forward[at[t] : at[t + 1]] += np.logaddexp(p + stay, 0) - np.logaddexp(p, stay)
+        backward = np.zeros(total)
         for t in range(longest - 2, -1, -1):
-            k = active[t + 1]
-            q = g[:k, t + 1] + backward[:k, t + 1]
-            backward[:k, t] = np.logaddexp(q + stay, 0) - np.logaddexp(q, stay)
+            q = g[at[t + 1] : at[t + 2]] + backward[at[t + 1] : at[t + 2]]
+            backward[at[t] : at[t] + active[t + 1]] = np.logaddexp(q + stay, 0) - np.logaddexp(q, stay)
         content = 1 / (1 + np.exp(-(forward + backward)))
-        f, q = forward[:, :-1], (g + backward)[:, 1:]
+        f, q = forward[before], (g + backward)[active[0] :]
         # Chance that neighbours agree: (1,1) and (0,0) against (1,0) and (0,1)
         agree = np.logaddexp(f + q + stay, stay)
         same = np.exp(agree - np.logaddexp(agree, np.logaddexp(f, q)))
-        error = np.where(inside, y[:, None] - content, 0.0) * weight[:, None]
-        emit = emit + RATE * (np.einsum("nt,ntf->f", error, x) - RIDGE * emit)
-        stay = stay + RATE * (float((np.where(inside[:, 1:], 1 - same, 0.0) * weight[:, None]).sum()) - RIDGE * 10 * stay)
-        first = first + RATE * (float(error[:, 0].sum()) - RIDGE * first)
+        error = (y - content) * weight
+        emit = emit + RATE * (error @ x - RIDGE * emit)
+        stay = stay + RATE * (float(((1 - same) * weight[active[0] :]).sum()) - RIDGE * 10 * stay)
+        first = first + RATE * (float(error[: active[0]].sum()) - RIDGE * first)
     return Chain(emit, float(stay), float(first))
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
-    """Fit on at most ``sample`` documents per label, those first by a checksum of their id; held-out
-    ids aside."""
+    """Fit on at most ``sample`` documents per label and FIT_LINES of their lines, those first by a checksum of
+    their id, each with all its lines; held-out ids and documents of over LONGEST lines aside."""
     known = labels.where("quality in (0, 1)").select("doc_id", "quality").distinct().where(~held_out(F.col("doc_id")))
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
     first = Window.partitionBy("quality").orderBy(order, "doc_id")
     chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample).select("doc_id", "quality")
 
-    @F.pandas_udf("array<array<double>>")
+    @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [line_features(x) for x in lines_of(t)[:LINES]])
+        return texts.map(lambda t: np.array([line_features(x) for x in lines_of(t)], dtype=np.float64).tobytes())
 
     # Repeated ids could make more rows than were chosen, so the bound is set again on the rows.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", order.alias("o"), features("text").alias("lines"))
-    rows = joined.where(F.size("lines") > 0).orderBy("o", "lines").limit(2 * sample).collect()
-    return fit_chain([np.array(r["lines"]) for r in rows], [r["quality"] for r in rows])
+    width = len(LINE_FEATURES)
+    n = F.length("lines") / F.lit(8 * width)
+    bounded = joined.withColumn("n", n).where(F.col("n").between(1, LONGEST)).orderBy("o", "lines").limit(2 * sample)
+    so_far = F.sum("n").over(Window.partitionBy("quality").orderBy("o", "lines").rowsBetween(Window.unboundedPreceding, 0))
+    rows = bounded.withColumn("so_far", so_far).where(F.col("so_far") <= FIT_LINES).orderBy("o", "lines").select("quality", "lines").collect()
+    return fit_chain([np.frombuffer(r["lines"]).reshape(-1, width) for r in rows], [r["quality"] for r in rows])
 
 
 def repeated_words(words: list[bytes]) -> int:

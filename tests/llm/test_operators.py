@@ -345,3 +345,21 @@ def test_parts_link_by_their_ends(make):
                 wanted.append((p["start"], p["kind"], p["end"]))
         assert out[i] == ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(wanted))
     assert all("ident" in out[i] for i in (0, 1, 3, 4)) and "email" in out[2] and "endpoint" in out[3] and "ident" not in out[5]
+
+
+def test_chain_is_fitted_on_all_lines(make):
+    clean = "\n".join(f"this is line number {i} of a plain text" for i in range(40))
+    junk = "\n".join("### $$$ !!! | BUY | NOW | $$$ ###" for _ in range(400))
+    docs = make("doc_id long, text string", [(i, clean) for i in range(40)] + [(i, clean + "\n" + junk) for i in range(40, 80)])
+    labels = make("doc_id long, quality int", [(i, int(i < 40)) for i in range(80)])
+    chain = line_crf.fit_on_labels(docs, labels)
+    assert chain.label([line_crf.line_features(x.encode()) for x in clean.split("\n")[:32] + junk.split("\n")[:32]]) == [1] * 32 + [0] * 32
+
+
+def test_packed_gradient_matches_padded_lengths():
+    rng = np.random.default_rng(9)
+    width = len(line_crf.LINE_FEATURES)
+    sequences = [rng.normal(size=(n, width)) for n in (1, 5, 3, 1, 7)]
+    a = line_crf.fit_chain(sequences, [1, 0, 1, 0, 1])
+    b = line_crf.fit_chain(sequences[::-1], [1, 0, 1, 0, 1][::-1])
+    assert np.allclose(a.emit, b.emit) and a.stay == pytest.approx(b.stay) and np.isfinite(a.emit).all()
