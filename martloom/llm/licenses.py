@@ -100,10 +100,14 @@ PHRASES = [
     ("cc0", "cc0"), ("cc0", "creative commons zero"), ("public-domain", "dedicated to the public domain"),
     ("public-domain", "released into the public domain"), ("public-domain", "placed in the public domain"),
     ("proprietary", "all rights reserved license|licence"), ("gpl", "gpl"), ("lgpl", "lgpl"), ("agpl", "agpl"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy under license|licence"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("isc", "permission to use copy modify and or? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd", "permission to use copy modify and or? distribute this software for any purpose with or without fee is hereby granted"),
 ]
 # Every match of every rule holds one of these, so a text without any is passed over.
-STEMS = ["licen", "gpl ", " cc", " creative ", " domain "]
+STEMS = ["licen", "gpl ", " cc", " creative ", " domain ", " hereby  granted ", " redistribution  and  use "]
 CONFIDENCE = [1.0, 0.95, 0.8, 0.6]  # by tier; a text with base places alone has BASE_CONFIDENCE
 BASE_CONFIDENCE = 0.5
 

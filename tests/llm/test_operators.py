@@ -347,6 +347,16 @@ def test_parts_link_by_their_ends(make):
     assert all("ident" in out[i] for i in (0, 1, 3, 4)) and "email" in out[2] and "endpoint" in out[3] and "ident" not in out[5]
 
 
+def test_notices_that_name_no_license(make):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in"
+    bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:"
+    zero = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    isc = zero.replace("/or", "") + ", provided that the above copyright notice and this permission notice appear in all copies."
+    texts = [mit, bsd, zero + ".", isc, "hereby granted", "redistribution and use"]
+    out = {r["doc_id"]: r for r in licenses.license_report(make("doc_id long, text string", list(enumerate(texts)))).collect()}
+    assert [out[i]["labels"] for i in range(6)] == ["mit", "bsd", "bsd", "isc", "", ""] and all(out[i]["n_base"] == 0 for i in range(6))
+
+
 def test_chain_is_fitted_on_all_lines(make):
     clean = "\n".join(f"this is line number {i} of a plain text" for i in range(40))
     junk = "\n".join("### $$$ !!! | BUY | NOW | $$$ ###" for _ in range(400))
