@@ -1,8 +1,8 @@
 """Approximate nearest neighbours (largest inner product) on robust-pruned directed graphs.
 
-Distinct vectors are dealt over shards; each shard is one graph. Vectors get one more component that
-makes all of a shard the same length, so the largest inner product is the smallest distance and the pruning
-rule holds. A graph is grown in batches: a greedy beam search for each vector proposes neighbours, robust
+Distinct vectors are dealt over shards by length, a band for each power of two; each shard is one graph. Vectors
+get one more component that makes all of a shard the same length, so the largest inner product is the smallest
+distance and the pruning rule holds; in a band no vector is so much longer that the others fall together. A graph is grown in batches: a greedy beam search for each vector proposes neighbours, robust
 pruning keeps those that no kept neighbour is closer to by the factor ALPHA, and links back are pruned
 alike. A query walks every shard's graph with a beam; the best of all shards are merged.
 
@@ -39,10 +39,19 @@ def usable(vector: Column) -> Column:
 
 
 def lengthened(vectors: np.ndarray) -> np.ndarray:
-    """Scaled to length 1 at most and given a component that makes it 1."""
-    squares = (vectors * vectors).sum(axis=1)
+    """Scaled to length 1 at most and given a component that makes it 1. Squares are of vectors whose
+    largest component is 1, so they don't overflow."""
+    scaled = vectors / np.abs(vectors).max()
+    squares = (scaled * scaled).sum(axis=1)
     top = squares.max()
-    return np.hstack([vectors / np.sqrt(top), np.sqrt(np.maximum(0, 1 - squares / top))[:, None]]).astype(np.float32)
+    return np.hstack([scaled / np.sqrt(top), np.sqrt(np.maximum(0, 1 - squares / top))[:, None]])
+
+
+def length_band(vector: Column) -> Column:
+    """The power of two nearest to the length: lengths about 1 are in one band."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
+    squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + (x / largest) * (x / largest))
+    return F.floor(F.log2(largest) + F.log2(squares) / 2 + 0.5).cast("int")
 
 
 def _distances(points: np.ndarray, at: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -56,7 +65,7 @@ def beam_search(points: np.ndarray, graph: np.ndarray, entries: np.ndarray, targ
     seen = np.zeros((rows, n + 1), dtype=bool)  # the last column stands for "no node"
     seen[:, n] = True
     ids = np.full((rows, beam), n, dtype=np.int64)
-    far = np.full((rows, beam), np.inf, dtype=np.float32)
+    far = np.full((rows, beam), np.inf)
     opened = np.ones((rows, beam), dtype=bool)
     line = np.arange(rows)[:, None]
 
@@ -173,9 +182,17 @@ def build_index(vectors: DataFrame, k: int = NEAREST, shard_vectors: int = SHARD
     """
     smallest = Window.partitionBy("vector").orderBy("vec_id")
     kept = vectors.withColumn("_n", F.row_number().over(smallest)).where(F.col("_n") <= k + 1)
-    nodes = stage(kept.groupBy("vector").agg(F.collect_list("vec_id").alias("ids")).withColumn("hash", F.xxhash64("vector")), "graph-nodes")
-    shards = max(1, -(-nodes.count() // shard_vectors))
-    dealt = nodes.withColumns({"dim": F.size("vector"), "shard": F.pmod("hash", F.lit(shards)).cast("int")})
+    nodes = stage(kept.groupBy("vector").agg(F.collect_list("vec_id").alias("ids")).withColumns({"hash": F.xxhash64("vector"), "band": length_band(F.col("vector"))}), "graph-nodes")
+    counts = nodes.groupBy("band").count().orderBy("band").collect()  # at most some 2,000 bands of doubles
+    shards, first_of = 0, []
+    for r in counts:
+        of_band = -(-r["count"] // shard_vectors)
+        first_of.append((r["band"], shards, of_band))
+        shards += of_band
+    plan = nodes.sparkSession.createDataFrame(first_of, "band int, first int, of_band int")
+    shard = (F.col("first") + F.pmod("hash", F.col("of_band"))).cast("int")
+    dealt = nodes.join(F.broadcast(plan), "band").withColumns({"dim": F.size("vector"), "shard": shard}).drop("band", "first", "of_band")
+    shards = max(1, shards)
     # One task a shard: by default small shuffle partitions, thus whole shards, would be put together.
     apart = dealt.repartitionByRange(shards, "dim", "shard")
     return stage(apart.groupBy("dim", "shard").applyInPandas(_build, GRAPH), "graph-shards")
@@ -194,8 +211,9 @@ def _search(k: int):
             asked = np.stack(queries["vector"].to_numpy()).astype(np.float64)
             for at in range(0, len(asked), BATCH):
                 some = asked[at : at + BATCH]
-                unit = some / np.sqrt((some * some).sum(axis=1))[:, None]
-                targets = np.hstack([unit, np.zeros((len(some), 1))]).astype(np.float32)
+                scaled = some / np.abs(some).max(axis=1)[:, None]
+                unit = scaled / np.sqrt((scaled * scaled).sum(axis=1))[:, None]
+                targets = np.hstack([unit, np.zeros((len(some), 1))])
                 met, _ = beam_search(points, graph, entries, targets, max(QUERY_BEAM, 2 * k))
                 for query, q, nodes in zip(queries["query_id"].iloc[at : at + BATCH], some, met):
                     nodes = nodes[nodes >= 0]

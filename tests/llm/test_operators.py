@@ -373,3 +373,20 @@ def test_packed_gradient_matches_padded_lengths():
     a = line_crf.fit_chain(sequences, [1, 0, 1, 0, 1])
     b = line_crf.fit_chain(sequences[::-1], [1, 0, 1, 0, 1][::-1])
     assert np.allclose(a.emit, b.emit) and a.stay == pytest.approx(b.stay) and np.isfinite(a.emit).all()
+
+
+def test_graph_search_of_mixed_lengths(make):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(1500, 12))
+    x[0] *= 30000.0
+    x[1:40] *= rng.choice([1e-3, 50.0], size=(39, 1))
+    hits = wanted = 0
+    found = {}
+    for r in graph_search.search_table(make("vec_id long, embedding array<double>", [(i, v.tolist()) for i, v in enumerate(x)]), every=10).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    for q in range(0, 1500, 10):
+        best = {i for _, i in sorted((-s, i) for i, s in enumerate(x @ x[q]) if i != q)[:20]}
+        hits, wanted = hits + len(best & found[q]), wanted + 20
+    assert hits >= 0.95 * wanted
+    huge = graph_search.lengthened(np.array([[1e200, 0.0], [0.0, 5e199]]))
+    assert np.allclose((huge * huge).sum(axis=1), 1) and np.allclose(huge[1], [0, 0.5, np.sqrt(0.75)])
