@@ -23,7 +23,8 @@ CUT_BITS = 5  # a cut every 32 bytes or so
 WINDOW_BITS = 16  # hash bits in use; bit k depends on the last k + 1 bytes
 LEAST_BYTES = 16
 MOST_BYTES = 96
-# A passage of over 50 words loses the two chunks at its ends and what leads up to the first common cut.
+# A passage of over 50 words loses the two chunks at its ends and what leads up to the first common cut; some
+# lose more and are missed (README).
 LEAST_WORDS = 25
 
 _GEAR = np.random.default_rng(SEED).integers(0, 1 << WINDOW_BITS, size=256, dtype=np.uint16)
@@ -84,7 +85,7 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     UTF-8 text, that other rows hold too. ``later``: chunks of it that an earlier row keeps;
     ``first_ids``: the ids of the rows that keep its chunks.
 
-    Repeated rows are copies of each other and repeat wholly; null ids come last. Null and empty texts
+    Repeated rows are copies of each other and repeat wholly, if they have ``least_words``; null ids come last. Null and empty texts
     have no chunks. Only doc_id and text are read, and ``_row`` if there is one.
     """
     row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
