@@ -80,10 +80,11 @@ def _chunks(texts: pd.Series) -> pd.Series:
     return texts.map(chunks_of)
 
 
-def repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, apart: bool = False) -> DataFrame:
     """(_row, doc_id, start, end, words, chunks, later, first_ids): spans of whole chunks, in bytes of the
     UTF-8 text, that other rows hold too. ``later``: chunks of it that an earlier row keeps;
-    ``first_ids``: the ids of the rows that keep its chunks.
+    ``first_ids``: the ids of the rows that keep its chunks. ``apart``: a span ends where its chunks change from
+    those that an earlier row keeps to those that the row keeps itself, so all of it is kept by one side, and the word bound is on each such span.
 
     Repeated rows are copies of each other and repeat wholly, if they have ``least_words``; null ids come last. Null and empty texts
     have no chunks. Only doc_id and text are read, and ``_row`` if there is one.
@@ -97,12 +98,13 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         "_row", "doc_id", "i", "start", "end", "words", F.col("first.id").alias("first_id"),
         ((F.col("first.row") != F.col("_row")) | (F.col("first.i") != F.col("i"))).cast("int").alias("later"),
     )
-    run = F.col("i") - F.row_number().over(Window.partitionBy("_row").orderBy("i"))
-    spans = marked.withColumn("run", run).groupBy("_row", "doc_id", "run").agg(
+    kind = ["later"] if apart else []
+    run = F.col("i") - F.row_number().over(Window.partitionBy("_row", *kind).orderBy("i"))
+    spans = marked.withColumn("run", run).groupBy("_row", "doc_id", "run", *kind).agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("chunks"),
-        F.sum("later").alias("later"), F.array_sort(F.collect_set("first_id")).alias("first_ids"),
+        F.sum("later").alias("_later"), F.array_sort(F.collect_set("first_id")).alias("first_ids"),
     )
-    return spans.where(F.col("words") >= least_words).drop("run")
+    return spans.where(F.col("words") >= least_words).select("_row", "doc_id", "start", "end", "words", "chunks", F.col("_later").alias("later"), "first_ids")
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
@@ -114,10 +116,10 @@ def repeat_report(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with every repeat that earlier rows keep as a whole cut out of ``text``; spans in which the
-    row keeps chunks itself stay. Cuts fall back to whole characters."""
+    """``docs`` with every part of a repeat that earlier rows keep cut out of ``text``; what the row
+    keeps itself stays. Cuts fall back to whole characters."""
     numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "chunk-docs")
-    spans = repeats(numbered, least_words).where("later = chunks").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
+    spans = repeats(numbered, least_words, apart=True).where("later > 0").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

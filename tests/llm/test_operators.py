@@ -390,3 +390,18 @@ def test_graph_search_of_mixed_lengths(make):
     assert hits >= 0.95 * wanted
     huge = graph_search.lengthened(np.array([[1e200, 0.0], [0.0, 5e199]]))
     assert np.allclose((huge * huge).sum(axis=1), 1) and np.allclose(huge[1], [0, 0.5, np.sqrt(0.75)])
+
+
+def test_parts_kept_earlier_are_cut_by_themselves(make):
+    rng = np.random.default_rng(14)
+    prose = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, size=rng.integers(2, 9))) for _ in range(n))
+    one, two, three = prose(80), prose(80), prose(80)
+    table = make("doc_id long, text string", [
+        (1, f"{prose(40)} {one} {three} {prose(40)}"), (2, f"{prose(40)} {one} {two} {three} {prose(40)}"), (3, f"{prose(40)} {one} {two} {three} {prose(40)}"),
+    ])
+    text = {r["doc_id"]: r["text"] for r in table.collect()}
+    kept = {r["doc_id"]: r["text"] for r in chunk_dedup.without_repeats(table).collect()}
+    assert kept[1] == text[1] and two in kept[2]
+    for gone in (one, three):
+        assert gone[150:-150] not in kept[2] and len(gone[150:-150]) > 100
+    assert len(kept[3]) < len(text[3]) - 900
