@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chunk_dedup, graph_search, licenses, line_crf, mixing, pieces, quality_qda, secrets, sharding, simhash
+from martloom.llm import best_fit_packing, chunk_dedup, graph_search, licenses, line_crf, merkle_manifest, mixing, periodic_runs, pieces, quality_qda, secrets, sharding, simhash
 from martloom.llm.common import table
 from martloom.session import stage
 
@@ -60,10 +60,25 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest_report(table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.packing_report(table(spark, sf_dir, "documents"), best_fit_packing.default_tokenizer())
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secrets, op2_chunk_dedup, op3_graph_search, op4_mixing, op5_simhash, op6_pieces, op7_feistel, op8_quality, op9_line_crf, op10_licenses)
-}
+    for f in (
+        op1_secrets, op2_chunk_dedup, op3_graph_search, op4_mixing, op5_simhash, op6_pieces, op7_feistel, op8_quality, op9_line_crf, op10_licenses,
+        op11_merkle, op12_packing, op13_periodic_runs,
+    )
+}
 
 # DuckDB SQL of the same results, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {}

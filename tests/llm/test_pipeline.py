@@ -32,7 +32,7 @@ def test_stages(spark):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_near_copies_of_many_bits_go(spark, make, monkeypatch):
