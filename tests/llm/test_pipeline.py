@@ -2,11 +2,11 @@
 
 import os
 
-import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martloom.llm import near_copies, queries, simhash
+from martloom.llm import queries, simhash
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -35,60 +35,53 @@ def test_every_operator_has_a_query():
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
 
 
-def test_near_copies_of_many_bits_go(spark, make, monkeypatch):
-    rng = np.random.default_rng(3)
-    word = lambda: "w" + str(rng.integers(0, 10**6))
-    rows = []
-    for i in range(30):
-        text = [word() for _ in range(120)]
-        near, far = text.copy(), text.copy()
-        for at in (30, 90):  # 10 of 116 shingles change: similarity 106 / 126
-            near[at] = word()
-        for at in range(5, 120, 12):
-            far[at] = word()
-        rows += [(3 * i, " ".join(text)), (3 * i + 1, " ".join(near)), (3 * i + 2, " ".join(far))]
-    prints = [simhash.fingerprint(t) for _, t in rows]
-    assert sum((prints[i] ^ prints[i + 1]) & (2**64 - 1) != 0 and ((prints[i] ^ prints[i + 1]) & (2**64 - 1)).bit_count() > 3 for i in range(0, 90, 3)) > 15
-    docs = make("doc_id long, text string", [*rows, (None, None), (900, ""), (901, "one two"), (902, "One  two")])
-    wanted = sorted([i for i, _ in rows if i % 3 != 1] + [900, 901])
-    for short in (16, 1):  # by pairs, then block by block
-        monkeypatch.setattr(near_copies, "SHORT_POSTING", short)
-        kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
-        assert sorted(r["doc_id"] for r in kept) == wanted
-
-
-def test_bands_meet_all_pairs_of_exact_similarity(spark, make):
-    rng = np.random.default_rng(8)
-    base = [f"w{x}" for x in rng.integers(0, 10**6, size=200)]
-    texts = []
-    for _ in range(60):
-        t = base.copy()
-        for at in rng.choice(200, rng.integers(0, 9), replace=False):
-            t[at] = f"x{rng.integers(0, 10**6)}"
-        texts.append(" ".join(t))
-    sets = [near_copies.shingles(near_copies.words_of(t)) for t in texts]
-    parent = list(range(60))
-
-    def find(i):
-        return i if parent[i] == i else find(parent[i])
-
-    for i in range(60):
-        for j in range(i):
-            a, b = ({tuple(t.split()[k : k + 5]) for k in range(196)} for t in (texts[i], texts[j]))
-            assert near_copies.similarity(sets[i], sets[j]) == len(a & b) / len(a | b)
-            if len(a & b) >= 0.8 * len(a | b):
-                parent[find(i)] = find(j)
-    found = near_copies.links(make("_row long, fp long, text string", [(i, texts.index(t), t) for i, t in enumerate(texts)])).collect()
-    again = [texts.index(t) for t in texts]  # equal texts have one fingerprint
-    for r in found:
-        x, y = r["a"], r["b"]
-        while again[x] != x:
-            x = again[x]
-        while again[y] != y:
-            y = again[y]
-        again[x] = y
-
-    def root(i):
-        return i if again[i] == i else root(again[i])
-
-    assert {(i, j) for i in range(60) for j in range(60) if root(i) == root(j)} == {(i, j) for i in range(60) for j in range(60) if find(i) == find(j)}
+# Every name that an operator of a stage uses inside, and those of its results.
+CLASHES = [
+    "stats", "score", "predicted", "held_out", "label", "_row", "fp", "component_id", "none", "id", "row", "_parts", "_links", "secrets", "size", "source_size",
+    "target", "taken", "_order", "_bucket", "_key", "_before", "_first", "_lo", "_passes", "_from", "_rest", "_blocks", "_seats", "_within", "_take", "_null", "_place", "weight",
+]
+
+
+def rows_of(spark):
+    texts = [None, "", "  ", "a plain text of some ten words that says very little", "token=abcdef123456 user=bob at example.com", "word " * 400, "one two", "One  two"]
+    rows = [(i, texts[i % len(texts)], "ab"[i % 2] if i % 3 else None, i) for i in range(24)] + [(None, "no id here", "a", 1), (3, texts[3], "a", 3), (3, texts[3], "a", 3)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("name, step", corpus_pipeline.STAGES[:-1])
+def test_columns_of_clashing_names_pass_unchanged(spark, name, step):
+    plain = rows_of(spark)
+    extra = plain.withColumns({c: F.concat(F.lit(f"{c}:"), F.coalesce("doc_id", F.lit(-1))) for c in CLASHES})
+    out = step(spark, extra, SF_DIR)
+    assert out.columns == extra.columns
+    rows = out.collect()
+    assert all(r[c] == f"{c}:{-1 if r['doc_id'] is None else r['doc_id']}" for r in rows for c in CLASHES)
+    wanted = step(spark, plain, SF_DIR).collect()
+    assert sorted(repr(tuple(r)[:4]) for r in rows) == sorted(repr(tuple(r)) for r in wanted)
+    assert all(r["n_chars"] == len(r["text"] or "") for r in wanted if r["text"] and name in ("secret scans", "mixing sources"))
+    assert step(spark, extra.limit(0), SF_DIR).collect() == []
+
+
+def test_last_stage_reads_ids_and_texts_only(spark):
+    plain = rows_of(spark)
+    extra = plain.withColumns({c: F.lit("x") for c in ("ids", "decoded", "n_ids", "word", "uses", "restored")})
+    out = corpus_pipeline.tokens(spark, extra, SF_DIR)
+    assert out.columns == ["doc_id", "n_ids", "ids", "restored"] and all(r["restored"] for r in out.collect())
+    assert out.count() == plain.count() and corpus_pipeline.tokens(spark, extra.limit(0), SF_DIR).collect() == []
+
+
+def test_one_document_of_each_group_of_fingerprints_stays(spark, make):
+    """Against linking all pairs of fingerprints within 3 bits."""
+    base = [f"w{i % 61}" for i in range(300)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k:]]) for k in range(0, 300, 7)] + ["", None, "one two", "One  two"] + [" ".join(f"y{i}{j}" for j in range(30)) for i in range(10)]
+    rows = [(100 - i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "alone"), (100, texts[0])]
+    prints = [simhash.fingerprint(t) & (2**64 - 1) for _, t in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, p in enumerate(prints):
+            group[i] = min(group[j] for j, q in enumerate(prints) if (p ^ q).bit_count() <= 3)
+    least = {}
+    for (doc, _), g in zip(rows, group):
+        least[g] = min(least.get(g, (True, 0)), (doc is None, doc or 0))
+    kept = corpus_pipeline.near_duplicates(spark, make("doc_id long, text string", rows), "").collect()
+    assert sorted(((r["doc_id"] is None, r["doc_id"] or 0) for r in kept)) == sorted(least.values())
