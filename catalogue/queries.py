@@ -20,9 +20,10 @@ from martloom.functions.columns import (
     visible_length,
 )
 from martloom.operators import scd2
-from martloom.operators.lookup import count_unmatched, unmatched
+from martloom.operators.lookup import unmatched
 from martloom.operators.profiling import blanks, distribution, grain, ranges, row_counts
 from martloom.operators.quality import status_summary
+from martloom.operators.references import Reference, dangling
 from martloom.plans import facts, quality_suite, reports, rfm
 from martloom.plans.incremental import (
     LoadControl,
@@ -199,11 +200,8 @@ ORPHANS = {
 
 @query
 def orphan_counts(m: Mart) -> DataFrame:
-    counts = [
-        count_unmatched(m.feeds[rows], m.feeds[other], {key: key}, "found").select(F.lit(name).alias("relation"), "found")
-        for name, (rows, other, key) in ORPHANS.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    references = [Reference(name, m.feeds[rows], key, m.feeds[other], key) for name, (rows, other, key) in ORPHANS.items()]
+    return dangling(references, "relation", "found")
 
 
 @query

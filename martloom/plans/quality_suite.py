@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,9 @@ from martloom.functions.columns import MONEY, UNKNOWN_KEY, count_where, percent
 from martloom.operators.lookup import count_unmatched, duplicate_keys
 from martloom.operators.profiling import row_counts
 from martloom.operators.quality import WARN, Check, evaluate, none_found
+from martloom.operators.references import Reference, dangling
 from martloom.plans.mart import Mart
+from martloom.session import stage
 
 # Check categories and the largest accepted share of items without a known place.
 RECONCILIATION, INTEGRITY, UNIQUENESS = "reconciliation", "integrity", "uniqueness"
@@ -19,23 +22,33 @@ VALIDITY, COMPLETENESS = "validity", "completeness"
 UNKNOWN_PLACE_LIMIT = 5
 
 
-def quality_checks(mart: Mart) -> DataFrame:
-    """The eleven checks. Expected row counts come from the feeds, not from literals."""
-    items, payments = mart.feeds["order_items"], mart.feeds["order_payments"]
-    fact, reviews = mart.fact_order_items, mart.feeds["order_reviews"]
+@dataclass(frozen=True)
+class Findings:
+    """What the checks need of the facts: one row of item measures, and the number of dangling keys by name."""
+
+    items: DataFrame
+    dangling: DataFrame
 
+
+def findings(mart: Mart) -> Findings:
+    """Two passes over the item fact and one over the payments, written down for all checks to share."""
     unknown_place = percent(count_where(F.col("geography_sk") == UNKNOWN_KEY), F.count("*"))
-    item_measures = fact.agg(
+    items = mart.fact_order_items.agg(
         F.count("*").alias("rows"),
         F.sum("price").cast(MONEY).alias("revenue"),
         F.coalesce(count_where(F.col("price") < 0), F.lit(0)).alias("negative_prices"),
         unknown_place.alias("unknown_place"),
-    ).withColumns(
-        {
-            "source_rows": items.agg(F.count("*")).scalar(),
-            "source_revenue": items.agg(F.sum("price").cast(MONEY)).scalar(),
-        }
     )
+    return Findings(stage(items, "item-measures"), stage(dangling_keys(mart), "dangling-keys"))
+
+
+def quality_checks(mart: Mart, found: Findings | None = None) -> DataFrame:
+    """The eleven checks. Expected row counts come from the feeds, not from literals."""
+    found = found or findings(mart)
+    items, payments = mart.feeds["order_items"], mart.feeds["order_payments"]
+    reviews = mart.feeds["order_reviews"]
+    source = items.agg(F.count("*").alias("source_rows"), F.sum("price").cast(MONEY).alias("source_revenue"))
+    item_measures = found.items.withColumns({c: source.select(c).scalar() for c in source.columns})
     item_checks = [
         _equal(1, "fact_order_items row count", "source_rows", "rows"),
         _equal(2, "fact revenue matches staging", "source_revenue", "revenue"),
@@ -60,9 +73,9 @@ def quality_checks(mart: Mart) -> DataFrame:
         [
             (item_measures, item_checks),
             (payment_measures, [_equal(3, "fact_payments row count", "source_rows", "rows")]),
-            _resolves(4, fact, "product_sk", mart.dim_product),
-            _resolves(5, fact, "customer_sk", mart.dim_customer),
-            _resolves(6, fact, "date_sk", mart.dim_date),
+            _resolves(4, found, "product_sk", "oi_bad_product"),
+            _resolves(5, found, "customer_sk", "oi_bad_customer"),
+            _resolves(6, found, "date_sk", "oi_bad_date"),
             _unique(7, "dim_customer unique_id no dupes", mart.dim_customer, "customer_unique_id"),
             _unique(8, "dim_seller one current per seller_id", current_sellers, "seller_id"),
             (
@@ -77,9 +90,10 @@ def _equal(check_id: int, name: str, expected: str, actual: str) -> Check:
     return Check(check_id, RECONCILIATION, name, F.col(expected), F.col(actual), F.col(expected) == F.col(actual))
 
 
-def _resolves(check_id: int, fact: DataFrame, key: str, dim: DataFrame):
+def _resolves(check_id: int, found: Findings, key: str, item: str):
     name = f"fact_order_items {key} valid"
-    return count_unmatched(fact, dim, {key: key}, "found", other_unique=True), [none_found(check_id, INTEGRITY, name, "found")]
+    count = found.dangling.where(F.col("item") == item).select(F.col("value").alias("found"))
+    return count, [none_found(check_id, INTEGRITY, name, "found")]
 
 
 def _unique(check_id: int, name: str, rows: DataFrame, key: str):
@@ -100,8 +114,8 @@ def staging_checks(feeds: dict[str, DataFrame], expected_orders: int) -> DataFra
     return results.select("check_name", F.col("actual").alias("check_result"), F.col("status").alias("check_status"))
 
 
-def warehouse_counts(mart: Mart) -> DataFrame:
-    return row_counts(
+def warehouse_counts(mart: Mart, found: Findings) -> DataFrame:
+    counts = row_counts(
         {
             "dim_date": mart.dim_date,
             "dim_customer": mart.dim_customer,
@@ -109,12 +123,12 @@ def warehouse_counts(mart: Mart) -> DataFrame:
             "dim_seller": mart.dim_seller,
             "dim_geography": mart.dim_geography,
             "dim_order_status": mart.dim_order_status,
-            "fact_order_items": mart.fact_order_items,
             "fact_payments": mart.fact_payments,
         },
         "item",
         "value",
     )
+    return counts.unionByName(found.items.select(F.lit("fact_order_items").alias("item"), F.col("rows").alias("value")))
 
 
 def _dimension_keys(mart: Mart) -> dict[str, tuple[DataFrame, str]]:
@@ -137,7 +151,7 @@ def unknown_members(mart: Mart) -> DataFrame:
 def dangling_keys(mart: Mart) -> DataFrame:
     """Fact rows whose key has no dimension row, per key; 0 everywhere in a sound warehouse."""
     items, payments = mart.fact_order_items, mart.fact_payments
-    counts = {
+    starts = {
         "oi_bad_product": (items, "product_sk", mart.dim_product),
         "oi_bad_seller": (items, "seller_sk", mart.dim_seller),
         "oi_bad_customer": (items, "customer_sk", mart.dim_customer),
@@ -147,11 +161,7 @@ def dangling_keys(mart: Mart) -> DataFrame:
         "pay_bad_customer": (payments, "customer_sk", mart.dim_customer),
         "pay_bad_date": (payments, "date_sk", mart.dim_date),
     }
-    rows = [
-        count_unmatched(fact, dim, {key: key}, "value", other_unique=True).select(F.lit(name).alias("item"), "value")
-        for name, (fact, key, dim) in counts.items()
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    return dangling([Reference(name, fact, key, dim, key, other_unique=True) for name, (fact, key, dim) in starts.items()])
 
 
 def segment_gaps(dim_customer: DataFrame) -> DataFrame:
@@ -168,11 +178,12 @@ def segment_gaps(dim_customer: DataFrame) -> DataFrame:
 
 def validate(mart: Mart) -> DataFrame:
     """The whole end-to-end validation as (section, item, value)."""
-    statuses = quality_checks(mart).groupBy(F.col("status").alias("item")).agg(F.count("*").alias("value"))
+    found = findings(mart)
+    statuses = quality_checks(mart, found).groupBy(F.col("status").alias("item")).agg(F.count("*").alias("value"))
     sections = {
-        "rows": warehouse_counts(mart),
+        "rows": warehouse_counts(mart, found),
         "unknown_member": unknown_members(mart),
-        "dangling_keys": dangling_keys(mart),
+        "dangling_keys": found.dangling,
         "segments": segment_gaps(mart.dim_customer_segmented),
         "check_status": statuses,
     }
