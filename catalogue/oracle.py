@@ -221,6 +221,12 @@ VIEWS = {
         from dim_customer d left join (select customer_sk, rfm_segment from rfm_segments) s on d.customer_sk = s.customer_sk""",
     "mark": """
         select max(purchased) as newest, max(purchased) - interval 30 day as last_mark from feed_orders""",
+    "reload_counts": """
+        select count(*) as n, cast(sum(price) as decimal(18,2)) as revenue, count(*) filter (where newer) as newer,
+               cast(coalesce(sum(price) filter (where newer), 0) as decimal(18,2)) as newer_revenue, count(*) filter (where in_month) as in_months
+        from (select price, purchased > (select last_mark from mark) as newer,
+                     date_trunc('month', purchased) in (select date_trunc('month', purchased) from feed_orders where purchased > (select last_mark from mark)) as in_month
+              from fact_order_items f left join feed_orders o on f.order_id = o.order_id)""",
     "dangling": """
         select 'oi_bad_product' as item, count(*) as value from fact_order_items where product_sk not in (select product_sk from dim_product)
         union all select 'oi_bad_seller', count(*) from fact_order_items where seller_sk not in (select seller_sk from dim_seller)
@@ -487,6 +493,15 @@ QUERIES = {
     "incremental_loaded": f"""
         select f.*, cast(case when purchased > (select last_mark from mark) then 2 else 1 end as bigint) as load_batch
         from (select {_FACT_ITEM_COLUMNS} from fact_order_items) f left join feed_orders o on f.order_id = o.order_id""",
+    "incremental_keyed": """
+        select row_number() over (order by load_batch, order_id, order_item_id) as order_item_sk, order_id, order_item_id, load_batch
+        from (select f.order_id, order_item_id, cast(case when purchased > (select last_mark from mark) then 2 else 1 end as bigint) as load_batch
+              from fact_order_items f left join feed_orders o on f.order_id = o.order_id)""",
+    "incremental_reload": """
+        select 'increment' as step, newer as rows_loaded, n as fact_rows, cast(revenue as double) as revenue from reload_counts
+        union all select 'reload', 0, n, cast(revenue as double) from reload_counts
+        union all select 'append_again', newer, n + newer, cast(revenue + newer_revenue as double) from reload_counts
+        union all select 'replace_months', in_months, n, cast(revenue as double) from reload_counts""",
     "load_control_after": """
         select 'fact_order_items' as table_name, strftime((select newest from mark), '%Y-%m-%d %H:%M:%S') as last_watermark,
                '2002-01-01 00:00:00' as last_load_time, count(*) as rows_last_loaded

@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 from martloom.functions.columns import (
     count_where,
     has_accent,
+    month_key,
     visible_length,
 )
 from martloom.operators import scd2
+from martloom.operators.keys import with_surrogate_key
 from martloom.operators.lookup import unmatched
 from martloom.operators.profiling import blanks, distribution, grain, ranges, row_counts
 from martloom.operators.quality import status_summary
@@ -30,8 +32,10 @@ from martloom.plans.incremental import (
     expected_new_rows,
     incremental_load,
     newest_moment,
+    reload_slices,
     undated_items,
 )
+from martloom.plans.build import ITEM_FACT, month_of
 from martloom.plans.mart import Mart
 from martloom.schemas import STAGING
 from martloom.session import configure, folder_bytes, scratch_path, size_shuffles
@@ -487,21 +491,31 @@ def final_validation(m: Mart) -> DataFrame:
 # --- incremental loads ----------------------------------------------------------------------
 
 
-def _rehearsal(m: Mart) -> tuple[Warehouse, datetime]:
-    """A warehouse loaded up to a mark 30 days before the newest order, then loaded again.
+def _rehearsal(m: Mart, key: str | None = None) -> Warehouse:
+    """A warehouse whose item fact, partitioned by month, is loaded up to a mark 30 days before the newest order,
+    then loaded again.
 
     The first load takes everything up to the mark, with the items that have no purchase time;
     the second must add exactly the rest.
     """
     warehouse = Warehouse(m.spark, scratch_path(m.spark, "rehearsal"))
-    control, table, orders = LoadControl(warehouse), "fact_order_items", m.feeds["orders"]
+    control, table, orders = LoadControl(warehouse), ITEM_FACT, m.feeds["orders"]
     mark = newest_moment(orders, MOMENT) - timedelta(days=REHEARSAL_DAYS)
     recent = orders.where(F.col(MOMENT) > F.lit(mark).cast("timestamp_ntz"))
     first = m.fact_order_items_plan(unmatched(m.feeds["order_items"], recent, {"order_id": "order_id"}, other_unique=True))
-    warehouse.append(first, "mart", table, 1)
-    control.record(table, mark, warehouse.read("mart", table).count(), LOADED_AT, 1)
-    incremental_load(warehouse, table, orders, MOMENT, m.new_order_items_plan, facts.ITEM_KEYS, LOADED_AT)
-    return warehouse, mark
+    if key:
+        first = with_surrogate_key(first, facts.ITEM_KEYS, key)
+    first = first.withColumn(facts.MONTH, month_key(F.col("date_sk")))
+    control.record(table, mark, warehouse.append(first, "mart", table, 1, [facts.MONTH], key=key), LOADED_AT, 1)
+    _load_increment(m, warehouse, key=key)
+    return warehouse
+
+
+def _load_increment(m: Mart, warehouse: Warehouse, dedup: bool = True, key: str | None = None) -> int:
+    orders = m.feeds["orders"]
+    return incremental_load(
+        warehouse, ITEM_FACT, orders, MOMENT, m.order_increment, facts.ITEM_KEYS, LOADED_AT, dedup=dedup, partition_by=[facts.MONTH], key=key
+    )
 
 
 @query
@@ -517,14 +531,46 @@ def incremental_undated(m: Mart) -> DataFrame:
 
 @query
 def incremental_loaded(m: Mart) -> DataFrame:
-    warehouse, _ = _rehearsal(m)
-    return warehouse.read("mart", "fact_order_items")
+    return _rehearsal(m).read("mart", ITEM_FACT).drop(facts.MONTH)
+
+
+@query
+def incremental_keyed(m: Mart) -> DataFrame:
+    """The fact's own keys over two batches: the second goes on from the first."""
+    return _rehearsal(m, facts.ITEM_KEY).read("mart", ITEM_FACT).select(facts.ITEM_KEY, *facts.ITEM_KEYS, "load_batch")
+
+
+@query
+def incremental_reload(m: Mart) -> DataFrame:
+    """Rows loaded and rows in the fact after each step: the mark rolled back and the period loaded again, without what is there
+    already, then with it (as the source does), and last the touched months replaced, which leaves the whole fact once."""
+    warehouse = _rehearsal(m)
+    control, orders = LoadControl(warehouse), m.feeds["orders"]
+    steps: list[tuple[str, int]] = [("increment", control.state(ITEM_FACT).rows)]
+
+    def rolled_back(step: str, load: Callable[[], int]) -> None:
+        control.roll_back(ITEM_FACT, REHEARSAL_DAYS)
+        steps.append((step, load()))
+
+    stored = {}
+    for step, load in (
+        ("reload", lambda: _load_increment(m, warehouse)),
+        ("append_again", lambda: _load_increment(m, warehouse, dedup=False)),
+        ("replace_months", lambda: reload_slices(warehouse, ITEM_FACT, orders, MOMENT, month_of, m.order_increment, facts.ITEM_KEYS, LOADED_AT, facts.MONTH)),
+    ):
+        stored[steps[-1][0]] = warehouse.read("mart", ITEM_FACT)
+        rolled_back(step, load)
+    stored[steps[-1][0]] = warehouse.read("mart", ITEM_FACT)
+    reports = [
+        stored[step].agg(F.lit(step).alias("step"), F.lit(n).alias("rows_loaded"), F.count("*").alias("fact_rows"), F.sum("price").alias("revenue"))
+        for step, n in steps
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query
 def load_control_after(m: Mart) -> DataFrame:
-    warehouse, _ = _rehearsal(m)
-    return LoadControl(warehouse).current().select("table_name", "last_watermark", "last_load_time", "rows_last_loaded")
+    return LoadControl(_rehearsal(m)).current().select("table_name", "last_watermark", "last_load_time", "rows_last_loaded")
 
 
 @source_query

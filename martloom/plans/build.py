@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.columns import month_key
+from martloom.functions.columns import date_key_or_unknown, month_key
 from martloom.operators.scd2 import scd2_merge
-from martloom.plans.facts import ITEM_KEYS
-from martloom.plans.incremental import LoadControl, incremental_load, newest_moment
+from martloom.plans.facts import DELIVERY_KEY, DELIVERY_KEYS, ITEM_KEY, ITEM_KEYS, MONTH, PAYMENT_KEY, PAYMENT_KEYS, with_fact_key
+from martloom.plans.incremental import LoadControl, incremental_load, newest_moment, reload_slices
 from martloom.plans.mart import Mart
 from martloom.plans.quality_suite import quality_checks, staging_checks
 from martloom.schemas import STAGING
@@ -22,9 +22,9 @@ from martloom.sources.tables import Warehouse
 ITEM_FACT = "fact_order_items"
 MOMENT = "order_purchase_timestamp"
 
-# Facts are partitioned by month, so a period filter reads its months only.
-MONTH = "month_sk"
 FACT_DAYS = {ITEM_FACT: "date_sk", "fact_payments": "date_sk", "fact_delivery_reviews": "purchase_date_sk"}
+# Business key and own key of each fact.
+FACT_KEYS = {ITEM_FACT: (ITEM_KEYS, ITEM_KEY), "fact_payments": (PAYMENT_KEYS, PAYMENT_KEY), "fact_delivery_reviews": (DELIVERY_KEYS, DELIVERY_KEY)}
 
 
 def load_staging(
@@ -51,35 +51,38 @@ class StoredMart(Mart):
     """A mart whose tables live in a warehouse folder instead of the scratch folder.
 
     The item fact is kept in batches, which incremental loads extend. The segmented customer
-    dimension is a new snapshot of ``dim_customer``.
+    dimension is a new snapshot of ``dim_customer``. With ``keyed`` the facts have dense keys of their own.
     """
 
     TABLE_OF = {"dim_customer_segmented": "dim_customer"}
     INTERMEDIATE = ("rfm_base",)
 
-    def __init__(self, warehouse: Warehouse, effective: date):
+    def __init__(self, warehouse: Warehouse, effective: date, keyed: bool = False):
         feeds = {feed: warehouse.read("staging", feed) for feed in STAGING}
         super().__init__(warehouse.spark, feeds, effective)
         self.warehouse = warehouse
+        self.keyed = keyed
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         layer, table = "intermediate" if name in self.INTERMEDIATE else "mart", self.TABLE_OF.get(name, name)
         day = FACT_DAYS.get(name)
         if day is None:
             return self.warehouse.write(df, layer, table)
-        by_month = df.withColumn(MONTH, month_key(F.col(day)))
+        business_key, own_key = FACT_KEYS[name]
+        by_month = (with_fact_key(df, business_key, own_key) if self.keyed else df).withColumn(MONTH, month_key(F.col(day)))
         if name != ITEM_FACT:
             return self.warehouse.write(by_month, layer, table, [MONTH])
-        self.warehouse.append(by_month, layer, table, 1, [MONTH], fresh=True)
+        self.warehouse.append(by_month, layer, table, 1, [MONTH], fresh=True, key=own_key if self.keyed else None)
         return self.warehouse.read(layer, table)
 
     def keep_dimension(self, df: DataFrame, name: str) -> DataFrame:
         return self.warehouse.write(df, "mart", name)
 
 
-def build_warehouse(warehouse: Warehouse, effective: date, loaded_at: datetime) -> StoredMart:
-    """Rebuild every mart table from staging. Can be run again at any time."""
-    mart = StoredMart(warehouse, effective)
+def build_warehouse(warehouse: Warehouse, effective: date, loaded_at: datetime, keyed: bool = False) -> StoredMart:
+    """Rebuild every mart table from staging. Can be run again at any time. ``keyed`` gives the facts their own keys, at
+    the price of a range sort of each."""
+    mart = StoredMart(warehouse, effective, keyed)
     mart.check_feeds()
     mart.build_all()
     warehouse.write(mart.rfm_scores, "intermediate", "rfm_scores")
@@ -114,12 +117,25 @@ def refresh_order_items(
 ) -> int:
     """Append the items of orders placed since the last load; returns the number of new rows."""
     mart = RefreshMart(warehouse, effective)
+    return incremental_load(
+        warehouse, ITEM_FACT, mart.feeds["orders"], MOMENT, mart.order_increment, ITEM_KEYS, loaded_at, lookback, dedup, [MONTH], _own_key(warehouse)
+    )
 
-    def build(orders: DataFrame) -> DataFrame:
-        return mart.new_order_items_plan(orders).withColumn(MONTH, month_key(F.col("date_sk")))
 
-    return incremental_load(
-        warehouse, ITEM_FACT, mart.feeds["orders"], MOMENT, build, ITEM_KEYS, loaded_at, lookback, dedup, [MONTH]
+def _own_key(warehouse: Warehouse) -> str | None:
+    """The item fact's own key, if the stored fact has one."""
+    return ITEM_KEY if ITEM_KEY in warehouse.read("mart", ITEM_FACT).columns else None
+
+
+def month_of(moment: Column) -> Column:
+    return month_key(date_key_or_unknown(moment))
+
+
+def reload_order_items(warehouse: Warehouse, effective: date, loaded_at: datetime) -> int:
+    """Build the months that hold orders placed after the mark again and put them in the place of the stored ones."""
+    mart = RefreshMart(warehouse, effective)
+    return reload_slices(
+        warehouse, ITEM_FACT, mart.feeds["orders"], MOMENT, month_of, mart.order_increment, ITEM_KEYS, loaded_at, MONTH, _own_key(warehouse)
     )
 
 

@@ -25,6 +25,11 @@ ITEM_KEYS = ["order_id", "order_item_id"]
 PAYMENT_KEYS = ["order_id", "payment_sequential"]
 DELIVERY_KEYS = ["order_id"]
 
+# Facts are partitioned by month, so a period filter reads its months only.
+MONTH = "month_sk"
+# The facts' own keys.
+ITEM_KEY, PAYMENT_KEY, DELIVERY_KEY = "order_item_sk", "payment_sk", "delivery_review_sk"
+
 ITEM_COLUMNS = [*ITEM_KEYS, "product_id", "seller_id", "price", "freight_value"]
 ORDER_ITEM_KEYS = ["date_sk", "customer_sk", "geography_sk", "order_status_sk"]
 

@@ -6,11 +6,27 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.keys import with_surrogate_key
 from martloom.sources.tables import Warehouse
 
+
+@dataclass(frozen=True)
+class Increment:
+    """The fact rows of a load, and what is known about them without computing them.
+
+    ``keys`` is a small written table of the first business key of every row; ``slice_column`` and ``slices``
+    are the partitions of the fact in which rows with these keys can lie.
+    """
+
+    rows: DataFrame
+    keys: DataFrame | None = None
+    slice_column: str | None = None
+    slices: tuple[int, ...] = ()
+
+
 @dataclass(frozen=True)
 class LoadState:
     watermark: datetime | None
@@ -81,44 +97,91 @@ def newer_than(source: DataFrame, moment: str, mark: datetime | None, lookback:
     return source.where(F.col(moment) > F.lit(mark - lookback).cast("timestamp_ntz"))
 
 
-def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
+def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: Sequence[str], batch_keys: DataFrame | None = None) -> DataFrame:
     """New rows whose business key is not in the table.
 
     The table is first reduced to the batch's own keys, a semi join against the small batch,
-    so the anti join never shuffles the whole table.
+    so the anti join never shuffles the whole table. ``batch_keys`` gives the batch's first keys where they are known
+    beforehand; else ``new`` is computed once more for them.
     """
-    batch_keys = new.select(keys[0]).distinct()
+    if batch_keys is None:
+        batch_keys = new.select(keys[0]).distinct()
     candidates = loaded.select(*keys).join(batch_keys, keys[0], "left_semi")
     return new.join(candidates, list(keys), "left_anti")
 
 
+def _increment(built: DataFrame | Increment) -> Increment:
+    return built if isinstance(built, Increment) else Increment(built)
+
+
+def _numbered(warehouse: Warehouse, table: str, rows: DataFrame, keys: Sequence[str], name: str | None, batch: int) -> DataFrame:
+    """The rows with the table's own key, going on from the last one that a recorded batch has given out.
+
+    An attempt that failed is not recorded, so its numbers are given again and the keys stay dense."""
+    return rows if name is None else with_surrogate_key(rows, keys, name, start=warehouse.last_key("mart", table, batch) + 1)
+
+
 def incremental_load(
     warehouse: Warehouse,
     table: str,
     source: DataFrame,
     moment: str,
-    build: Callable[[DataFrame], DataFrame],
+    build: Callable[[DataFrame], DataFrame | Increment],
     keys: Sequence[str],
     loaded_at: datetime,
     lookback: timedelta = timedelta(0),
     dedup: bool = True,
     partition_by: Sequence[str] = (),
+    key: str | None = None,
 ) -> int:
     """Append the fact rows of all ``source`` rows newer than the table's mark; returns their number.
 
     ``build`` turns the selected source rows into fact rows. Keys already in the table are left
-    out unless ``dedup`` is off. Afterwards the mark is the newest moment in the source; it
-    never moves to NULL.
+    out unless ``dedup`` is off; where ``build`` gives an ``Increment`` only its slices of the table are read for that, and
+    the rows are computed once. ``key`` names the fact's own key, if it has one. Afterwards the mark is the newest
+    moment in the source; it never moves to NULL.
     """
     control = LoadControl(warehouse)
     state = control.state(table)
     batch = state.batch + 1
-    rows = build(newer_than(source, moment, state.watermark, lookback))
+    made = _increment(build(newer_than(source, moment, state.watermark, lookback)))
+    rows = made.rows
     if dedup and warehouse.exists("mart", table):
         loaded = warehouse.read("mart", table).where(F.col("load_batch") < batch)
-        rows = not_yet_loaded(rows, loaded, keys)
-    warehouse.append(rows, "mart", table, batch, partition_by)
-    count = warehouse.read("mart", table).where(F.col("load_batch") == batch).count()
+        if made.slice_column:
+            loaded = loaded.where(F.col(made.slice_column).isin(*made.slices))
+        rows = not_yet_loaded(rows, loaded, keys, made.keys)
+    count = warehouse.append(_numbered(warehouse, table, rows, keys, key, batch), "mart", table, batch, partition_by, key=key)
+    control.record(table, newest_moment(source, moment) or state.watermark, count, loaded_at, batch)
+    return count
+
+
+def reload_slices(
+    warehouse: Warehouse,
+    table: str,
+    source: DataFrame,
+    moment: str,
+    slice_of: Callable[[Column], Column],
+    build: Callable[[DataFrame], DataFrame | Increment],
+    keys: Sequence[str],
+    loaded_at: datetime,
+    slice_column: str,
+    key: str | None = None,
+) -> int:
+    """Build the partitions that hold anything newer than the table's mark again, whole, and put them in the place of what
+    the table has there; returns their number of rows. All other partitions stay as they are.
+
+    ``slice_of`` gives the partition of a moment. After a mark was rolled back this takes late and corrected rows in
+    and leaves nothing twice, also where a period had been appended twice.
+    """
+    control = LoadControl(warehouse)
+    state = control.state(table)
+    batch = state.batch + 1
+    place = slice_of(F.col(moment))
+    touched = sorted(r[0] for r in newer_than(source.where(F.col(moment).isNotNull()), moment, state.watermark).select(place).distinct().collect())
+    made = _increment(build(source.where(place.isin(*touched))))
+    rows = _numbered(warehouse, table, made.rows, keys, key, batch)
+    count = warehouse.append(rows, "mart", table, batch, [slice_column], key=key, replaces=(slice_column, touched))
     control.record(table, newest_moment(source, moment) or state.watermark, count, loaded_at, batch)
     return count
 

@@ -6,9 +6,12 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martloom.functions.columns import UNKNOWN_KEY, month_key
 from martloom.operators.lookup import require_unique
 from martloom.plans import dimensions, facts, rfm
+from martloom.plans.incremental import Increment
 from martloom.session import stage
 
 # Lookup tables whose keys must be unique, or a join to them would multiply fact rows.
@@ -128,9 +131,23 @@ class Mart:
         planner knows it: the join broadcasts them and the whole item feed is scanned but not
         shuffled. An increment over the broadcast limit is joined by shuffle.
         """
+        return facts.new_order_items(self.feeds["order_items"], self._new_orders(orders), self.dims)
+
+    def _new_orders(self, orders: DataFrame) -> DataFrame:
         keyed = self.keyed_orders_plan(orders, with_place=True, few_orders=True)
-        new_orders = stage(keyed.select("order_id", *facts.ORDER_ITEM_KEYS), "new_orders")
-        return facts.new_order_items(self.feeds["order_items"], new_orders, self.dims)
+        return stage(keyed.select("order_id", *facts.ORDER_ITEM_KEYS), "new_orders")
+
+    def order_increment(self, orders: DataFrame, month: str = facts.MONTH) -> Increment:
+        """The same rows with their month, and the months of the fact where rows of these orders can lie.
+
+        An order keeps the month of its purchase once it has one; before, its items are in the unknown month, so that is
+        looked at too. There are at most as many months as the calendar of the increment has.
+        """
+        new_orders = self._new_orders(orders)
+        place = month_key(F.col("date_sk"))
+        months = {r[0] for r in new_orders.select(place).distinct().collect()}
+        rows = facts.new_order_items(self.feeds["order_items"], new_orders, self.dims).withColumn(month, place)
+        return Increment(rows, new_orders.select("order_id"), month, tuple(sorted({*months, UNKNOWN_KEY})))
 
     def fact_payments_plan(self) -> DataFrame:
         return facts.fact_payments(self.feeds["order_payments"], self.keyed_orders_plan())

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,22 @@ from pyspark.sql import types as T
 LAYERS = ("staging", "intermediate", "mart", "dq")
 
 
+BATCH_LOG = (
+    "version int, load_batch int, load_attempt int, rows bigint, last_key bigint, replaced_column string, replaced array<int>"
+)
+
+
+@dataclass(frozen=True)
+class Batch:
+    """A recorded batch: its latest attempt, rows, own keys, and the partitions of earlier batches it replaces."""
+
+    attempt: int
+    rows: int | None
+    last_key: int
+    replaced_column: str | None
+    replaced: tuple[int, ...]
+
+
 class Warehouse:
     """A root folder with ``<layer>/<table>`` below it.
 
@@ -19,7 +36,9 @@ class Warehouse:
     snapshot and then adds one row to the ``current`` log, so a failed write is never read and
     no job overwrites the files it is reading. The row holds the snapshot's schema too, so a table
     without rows can be read. A snapshot may consist of numbered batches, to which incremental loads
-    add; each is read once its row is in the ``batches`` log.
+    add; each is read once its row is in the ``batches`` log. That row also holds the batch's row count, the last of its own
+    keys, so that the next batch can number on without reading the table, and the partitions (of an integer partition
+    column) that it replaces: readers skip those partitions of all earlier batches.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -44,17 +63,25 @@ class Warehouse:
         log = f"{self._folder(layer, table)}/current"
         if not self._exists(log):
             return 0, None
-        rows = self.spark.read.schema("version int, columns string").parquet(log)
-        version, columns = rows.agg(F.max("version"), F.max_by("columns", "version")).first()
-        return version or 0, T.StructType.fromDDL(columns) if columns else None
+        rows = self.spark.read.schema("version int, columns string").parquet(log).collect()  # a row per rewrite
+        version, columns = max(((r["version"], r["columns"]) for r in rows), key=lambda r: r[0], default=(0, None))
+        return version, T.StructType.fromDDL(columns) if columns else None
 
-    def _batches(self, layer: str, table: str, version: int) -> dict[int, int]:
+    def _batches(self, layer: str, table: str, version: int) -> dict[int, Batch]:
         """Recorded batches of a snapshot, each with its latest attempt."""
         log = f"{self._folder(layer, table)}/batches"
         if not self._exists(log):
             return {}
-        rows = self.spark.read.schema("version int, load_batch int, load_attempt int").parquet(log)
-        return dict(map(tuple, rows.where(F.col("version") == version).groupBy("load_batch").agg(F.max("load_attempt")).collect()))
+        rows = self.spark.read.schema(BATCH_LOG).parquet(log).where(F.col("version") == version).collect()  # a row per load
+        return {
+            r["load_batch"]: Batch(r["load_attempt"], r["rows"], r["last_key"] or 0, r["replaced_column"], tuple(r["replaced"] or ()))
+            for r in sorted(rows, key=lambda r: r["load_attempt"])
+        }
+
+    def last_key(self, layer: str, table: str, before_batch: int) -> int:
+        """The largest own key that recorded batches below this one have given out; 0 if none."""
+        batches = self._batches(layer, table, self.version(layer, table))
+        return max((b.last_key for n, b in batches.items() if n < before_batch), default=0)
 
     def exists(self, layer: str, table: str) -> bool:
         return self.version(layer, table) > 0
@@ -74,20 +101,30 @@ class Warehouse:
         batch: int,
         partition_by: Sequence[str] = (),
         fresh: bool = False,
-    ) -> None:
-        """Add one numbered batch; the table then has the column ``load_batch``.
+        key: str | None = None,
+        replaces: tuple[str, Sequence[int]] | None = None,
+    ) -> int:
+        """Add one numbered batch and return its number of rows; the table then has the column ``load_batch``.
 
         Writing the same batch again replaces it, so a load can be repeated after a failure. It is a
         further attempt in a folder of its own: readers see the old rows until it is recorded.
-        ``fresh`` starts a new snapshot with this batch as its only one.
+        ``fresh`` starts a new snapshot with this batch as its only one. ``key`` names the table's own key in
+        ``df``, whose largest value is recorded. ``replaces`` names a partition column and values: the
+        batch takes the place of these partitions of all earlier ones.
         """
         current = self.version(layer, table)
         version = current + 1 if fresh else max(current, 1)
-        attempt = self._batches(layer, table, version).get(batch, 0) + 1
-        self._write_files(df, self._batch_folder(layer, table, version, batch, attempt), partition_by)
-        self._record(layer, table, "batches", version=version, load_batch=batch, load_attempt=attempt)
+        known = self._batches(layer, table, version).get(batch)
+        attempt = known.attempt + 1 if known else 1
+        rows, last_key = self._write_files(df, self._batch_folder(layer, table, version, batch, attempt), partition_by, key)
+        column, values = replaces or (None, ())
+        if column and column not in partition_by:
+            raise ValueError(f"{table} is not partitioned by {column}")
+        log = {"rows": rows, "last_key": last_key, "replaced_column": column, "replaced": sorted(values) or None}
+        self._record(layer, table, "batches", BATCH_LOG, version=version, load_batch=batch, load_attempt=attempt, **log)
         if version != current:
             self._make_current(layer, table, version, T.StructType([*df.schema, T.StructField("load_batch", T.IntegerType())]))
+        return rows
 
     def _batch_folder(self, layer: str, table: str, version: int, batch: int, attempt: int) -> str:
         return f"{self._folder(layer, table)}/version={version}/load_batch={batch}/load_attempt={attempt}"
@@ -98,21 +135,32 @@ class Warehouse:
             raise LookupError(f"{layer}.{table} has not been written")
         folder = f"{self._folder(layer, table)}/version={version}"
         batches = self._batches(layer, table, version)
-        paths = [self._batch_folder(layer, table, version, b, a) for b, a in sorted(batches.items())] or [folder]
+        paths = [self._batch_folder(layer, table, version, n, b.attempt) for n, b in sorted(batches.items())] or [folder]
         reader = self.spark.read.option("basePath", folder)
-        return (reader.schema(schema) if schema else reader).parquet(*paths).drop("load_attempt")
-
-    def _write_files(self, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-        """Partitioned tables are rebalanced by the partition columns first: few, evenly sized
-        files per partition, and AQE splits a partition that holds much of the data."""
+        rows = (reader.schema(schema) if schema else reader).parquet(*paths).drop("load_attempt")
+        for number, batch in sorted(batches.items()):
+            if batch.replaced:  # both are partition columns, so the files of replaced partitions are never listed for reading
+                rows = rows.where((F.col("load_batch") >= number) | ~F.col(batch.replaced_column).isin(*batch.replaced))
+        return rows
+
+    def _write_files(self, df: DataFrame, path: str, partition_by: Sequence[str], key: str | None = None) -> tuple[int, int | None]:
+        """Write and return the number of rows and the largest ``key``, both observed by the write itself.
+
+        Partitioned tables are rebalanced by the partition columns first: few, evenly sized
+        files per partition, and AQE splits a partition that holds much of the data. The counts are taken after
+        that shuffle, in the tasks that write, each of which counts once however often it is tried."""
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        seen = Observation()
+        measures = [F.count(F.lit(1)).alias("rows"), F.max(key if key else F.lit(None).cast("bigint")).alias("last_key")]
+        df.observe(seen, *measures).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return seen.get["rows"], seen.get["last_key"]
 
     def _make_current(self, layer: str, table: str, version: int, schema: T.StructType) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         self._record(layer, table, "current", version=version, columns=columns)
 
-    def _record(self, layer: str, table: str, log: str, **values: object) -> None:
-        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(c) for c, v in values.items()])
-        row.write.mode("append").parquet(f"{self._folder(layer, table)}/{log}")
+    def _record(self, layer: str, table: str, log: str, schema: str = "", **values: object) -> None:
+        kinds = dict(c.split(" ", 1) for c in schema.split(", ")) if schema else {}
+        columns = [F.lit(v).cast(kinds[c]).alias(c) if c in kinds else F.lit(v).alias(c) for c, v in values.items()]
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(f"{self._folder(layer, table)}/{log}")
