@@ -507,6 +507,13 @@ QUERIES = {
                '2002-01-01 00:00:00' as last_load_time, count(*) as rows_last_loaded
         from order_items i join feed_orders o on i.order_id = o.order_id where purchased > (select last_mark from mark)""",
     "incremental_stream": f"select {_FACT_ITEM_COLUMNS} from fact_order_items",
+    "quarantine_report": """
+        select 'orders' as feed, count(*) as repeated_keys, 2 * count(*) as rows from feed_orders where order_status = 'canceled'
+        union all select 'customers', count(*), 2 * count(*) from customers where city = 'BUILDING'""",
+    "fact_after_quarantine": """
+        select case o.order_status when 'canceled' then 'shipped' else coalesce(o.order_status, 'Unknown') end as order_status,
+               count(*) as items, count(*) filter (where f.customer_sk > 0) as with_customer, cast(sum(price) as double) as revenue
+        from fact_order_items f left join feed_orders o on f.order_id = o.order_id group by 1""",
     "csv_text_load": """
         select cast(doc_id as varchar) as review_id, 1 + n_chars % 5 as review_score,
                lang || ', ' || source as review_comment_title, length(text) as chars, md5(text) as digest

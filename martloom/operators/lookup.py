@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,28 @@ def require_unique(rows: DataFrame, keys: Sequence[str], table: str) -> DataFram
     return rows
 
 
+def one_per_key(rows: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the greatest by ``prefer``, then by all other columns, so the choice never depends on their order.
+
+    A maximum combines map-side, so a key repeated very often is no hot task. NULL keys are keys here."""
+    order = [*prefer, *[c for c in rows.columns if c not in prefer]]
+    best = rows.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*[F.col(f"_best.{c}").alias(c) for c in rows.columns])
+
+
+def settle_repeats(rows: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with one row per key, the repeated keys with their number of rows), or (rows, None) if no key repeats.
+
+    Rows without a key never match in a lookup and stay. The repeated keys are few, and written: only their rows are compared,
+    the others are not shuffled again where the keys can be broadcast."""
+    known = [F.col(k).isNotNull() for k in keys]
+    repeated = stage(duplicate_keys(rows.where(reduce(Column.__and__, known)), keys), "repeated-keys")
+    if repeated.isEmpty():
+        return rows, None
+    winners = one_per_key(rows.join(repeated, list(keys), "left_semi"), keys, prefer)
+    return rows.join(repeated, list(keys), "left_anti").unionByName(winners), repeated
+
+
 def unmatched(rows: DataFrame, other: DataFrame, on: Mapping[str, str], other_unique: bool = False) -> DataFrame:
     """Rows (NULL keys included) whose key does not occur in ``other``.
 

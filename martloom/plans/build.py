@@ -63,6 +63,10 @@ class StoredMart(Mart):
         self.warehouse = warehouse
         self.keyed = keyed
 
+    def quarantine(self, feed: str, repeated: DataFrame) -> None:
+        """Reports of all loads, a batch each, in ``dq.quarantine``."""
+        self.warehouse.append(repeated, "dq", "quarantine", self.warehouse.last_batch("dq", "quarantine") + 1)
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         layer, table = "intermediate" if name in self.INTERMEDIATE else "mart", self.TABLE_OF.get(name, name)
         day = FACT_DAYS.get(name)
@@ -79,11 +83,15 @@ class StoredMart(Mart):
         return self.warehouse.write(df, "mart", name)
 
 
-def build_warehouse(warehouse: Warehouse, effective: date, loaded_at: datetime, keyed: bool = False) -> StoredMart:
+def build_warehouse(warehouse: Warehouse, effective: date, loaded_at: datetime, keyed: bool = False, settle: bool = False) -> StoredMart:
     """Rebuild every mart table from staging. Can be run again at any time. ``keyed`` gives the facts their own keys, at
-    the price of a range sort of each."""
+    the price of a range sort of each. A key repeated in a looked-up feed fails the build, or, with ``settle``, one row of it
+    counts and the key goes to ``dq.quarantine``."""
     mart = StoredMart(warehouse, effective, keyed)
-    mart.check_feeds()
+    if settle:
+        mart.settle_feeds()
+    else:
+        mart.check_feeds()
     mart.build_all()
     warehouse.write(mart.rfm_scores, "intermediate", "rfm_scores")
     warehouse.write(mart.rfm_segments, "intermediate", "rfm_segments")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import UNKNOWN_KEY, month_key
-from martloom.operators.lookup import require_unique
+from martloom.operators.lookup import duplicate_keys, require_unique, settle_repeats
 from martloom.plans import dimensions, facts, rfm
 from martloom.plans.incremental import Increment
 from martloom.session import stage
@@ -23,6 +23,9 @@ LOOKUP_KEYS = {
     "category_translation": ["product_category_name"],
 }
 
+# Which of several rows of one key counts: the one placed or approved last, then the greatest of all columns.
+PREFERRED = {"orders": ["order_purchase_timestamp", "order_approved_at"]}
+
 ALL_TABLES = (
     "dim_date",
     "dim_order_status",
@@ -38,6 +41,11 @@ ALL_TABLES = (
 )
 
 
+def repeated_keys(feed: str, repeated: DataFrame, keys: list[str]) -> DataFrame:
+    """(feed, key, rows) of keys that a feed holds more than once."""
+    return repeated.select(F.lit(feed).alias("feed"), F.concat_ws("|", *keys).alias("key"), F.col("rows").cast("bigint").alias("rows"))
+
+
 class Mart:
     """Dimensions and facts over one set of feeds.
 
@@ -49,6 +57,7 @@ class Mart:
         self.spark = spark
         self.feeds = feeds
         self.effective = effective
+        self.quarantined: list[DataFrame] = []
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table down once; a subclass may choose where."""
@@ -62,6 +71,17 @@ class Mart:
         for feed, keys in LOOKUP_KEYS.items():
             require_unique(self.feeds[feed], keys, feed)
 
+    def settle_feeds(self) -> None:
+        """Instead of failing on a repeated key: keep one row of it and report the key."""
+        for feed, keys in LOOKUP_KEYS.items():
+            self.feeds[feed], repeated = settle_repeats(self.feeds[feed], keys, PREFERRED.get(feed, ()))
+            if repeated is not None:
+                self.quarantine(feed, repeated_keys(feed, repeated, keys))
+
+    def quarantine(self, feed: str, repeated: DataFrame) -> None:
+        """Keep the report of a feed's repeated keys; a subclass may write it somewhere."""
+        self.quarantined = [*self.quarantined, repeated]
+
     def build_all(self) -> None:
         """Compute every table, dimensions first."""
         for name in ALL_TABLES:
@@ -119,9 +139,8 @@ class Mart:
         return facts.fact_order_items(items, self.keyed_orders_plan(with_place=True), self.dims)
 
     def item_batch_plan(self, order_items: DataFrame) -> DataFrame:
-        """Fact rows of one batch of items; only their orders and customers are resolved."""
-        orders = facts.orders_of(order_items, self.feeds["orders"])
-        keyed = self.keyed_orders_plan(orders, with_place=True, few_orders=True)
+        """Fact rows of one batch of items; only their orders and customers are resolved, each from one row."""
+        keyed = self._new_orders(facts.orders_of(order_items, self.feeds["orders"]))
         return facts.fact_order_items(order_items, keyed, self.dims)
 
     def new_order_items_plan(self, orders: DataFrame) -> DataFrame:
@@ -134,9 +153,27 @@ class Mart:
         return facts.new_order_items(self.feeds["order_items"], self._new_orders(orders), self.dims)
 
     def _new_orders(self, orders: DataFrame) -> DataFrame:
-        keyed = self.keyed_orders_plan(orders, with_place=True, few_orders=True)
+        """The keys of these orders, one row per order, written down."""
+        return self._one_per_order(self._keyed(orders, self.feeds["customers"]), orders)
+
+    def _keyed(self, orders: DataFrame, customers: DataFrame) -> DataFrame:
+        keyed = facts.order_keys(orders, customers, self.dims, with_place=True, few_orders=True)
         return stage(keyed.select("order_id", *facts.ORDER_ITEM_KEYS), "new_orders")
 
+    def _one_per_order(self, keyed: DataFrame, orders: DataFrame) -> DataFrame:
+        """``keyed`` itself, unless an order or its customer was delivered more than once: then the orders concerned are
+        resolved again from one row each, and the repeated keys go to the quarantine. Usually one look at the written keys."""
+        again = duplicate_keys(keyed.where("order_id is not null"), ["order_id"])
+        if again.isEmpty():
+            return keyed
+        again = stage(again.select("order_id"), "repeated-orders")
+        own, own_repeats = settle_repeats(orders.join(again, "order_id", "left_semi"), ["order_id"], PREFERRED["orders"])
+        people, people_repeats = settle_repeats(self.feeds["customers"].join(own.select("customer_id").distinct(), "customer_id", "left_semi"), ["customer_id"])
+        for feed, keys, repeated in (("orders", ["order_id"], own_repeats), ("customers", ["customer_id"], people_repeats)):
+            if repeated is not None:
+                self.quarantine(feed, repeated_keys(feed, repeated, keys))
+        return stage(keyed.join(again, "order_id", "left_anti").unionByName(self._keyed(own, people)), "new_orders")
+
     def order_increment(self, orders: DataFrame, month: str = facts.MONTH) -> Increment:
         """The same rows with their month, and the months of the fact where rows of these orders can lie.
 

@@ -83,6 +83,10 @@ class Warehouse:
         batches = self._batches(layer, table, self.version(layer, table))
         return max((b.last_key for n, b in batches.items() if n < before_batch), default=0)
 
+    def last_batch(self, layer: str, table: str) -> int:
+        """Number of the newest recorded batch, 0 if none."""
+        return max(self._batches(layer, table, self.version(layer, table)), default=0)
+
     def exists(self, layer: str, table: str) -> bool:
         return self.version(layer, table) > 0
 
