@@ -314,6 +314,10 @@ QUERIES = {
         union all
         select 'order_payments', count(*), count(distinct order_id),
                count(distinct concat(order_id, '-', payment_sequential)) from order_payments""",
+    "profile_sketches": """
+        select 'order_id' as key, count(distinct order_id) as distinct_values, true as sketch_is_near from order_items
+        union all select 'product_id', count(distinct product_id), true from order_items
+        union all select 'item', count(distinct concat(order_id, '-', order_item_id)), true from order_items""",
     "profile_nulls": """
         select count(*) filter (where delivered is null) as null_delivered,
                count(*) filter (where order_status = 'canceled' or purchased is null) as null_approved,
@@ -362,6 +366,13 @@ QUERIES = {
         select count(*) as with_unknown_member, count(*) filter (where product_sk > 0) as real_products
         from dim_product where category_en = 'unknown'""",
     "dim_customer": "select * from dim_customer",
+    "dim_customer_latest": """
+        select row_number() over (order by customer_unique_id) as customer_sk, customer_unique_id, city as customer_city, state as customer_state,
+               cast(null as varchar) as rfm_segment
+        from (select *, row_number() over (partition by customer_unique_id order by last_order desc nulls last, customer_id desc) as rn
+              from customers c left join (select customer_id as cid, max(purchased) as last_order from feed_orders group by all) o on c.customer_id = o.cid)
+        where rn = 1
+        union all select -1, 'UNKNOWN', 'unknown', 'XX', null""",
     "dim_geography": "select * from dim_geography",
     "scd2_init": f"select * {_whole('is_current')} from dim_seller",
     "scd2_merge": f"select * {_whole('is_current')} from sellers_merged",
@@ -514,6 +525,28 @@ QUERIES = {
         select case o.order_status when 'canceled' then 'shipped' else coalesce(o.order_status, 'Unknown') end as order_status,
                count(*) as items, count(*) filter (where f.customer_sk > 0) as with_customer, cast(sum(price) as double) as revenue
         from fact_order_items f left join feed_orders o on f.order_id = o.order_id group by 1""",
+    "csv_load_counts": """
+        select 'customers' as table_name, count(*) as rows, 0 as rejected, cast(sum(length(customer_id)) as bigint) as characters from customers
+        union all select 'geolocation', count(*), 0, cast(sum(length(zip)) as bigint) from geolocation
+        union all select 'orders', count(*), 0, cast(sum(length(order_id)) as bigint) from feed_orders
+        union all select 'order_items', count(*), 0, cast(sum(length(order_id)) as bigint) from order_items
+        union all select 'order_payments', count(*), 0, cast(sum(length(order_id)) as bigint) from order_payments
+        union all select 'order_reviews', count(*) filter (where cast(review_id as bigint) >= 7), count(*) filter (where cast(review_id as bigint) < 7),
+                         cast(sum(length(review_id)) filter (where cast(review_id as bigint) >= 7) as bigint) from order_reviews
+        union all select 'products', count(*), 0, cast(sum(length(product_id)) as bigint) from products
+        union all select 'sellers', count(*), 0, cast(sum(length(seller_id)) as bigint) from sellers
+        union all select 'category_translation', count(*), 0, cast(sum(length(category)) as bigint) from category_translation""",
+    "warehouse_build": """
+        select 'dim_date' as table_name, count(*) as rows from dim_date
+        union all select 'dim_order_status', count(*) from dim_order_status
+        union all select 'dim_product', count(*) from dim_product
+        union all select 'dim_customer', count(*) from dim_customer
+        union all select 'dim_geography', count(*) from dim_geography
+        union all select 'dim_seller', count(*) from dim_seller
+        union all select 'fact_order_items', count(*) from fact_order_items
+        union all select 'fact_payments', count(*) from fact_payments
+        union all select 'fact_delivery_reviews', count(*) from fact_delivery_reviews""",
+    "dq_results_stored": f"select * {_whole('check_id')}, '2002-01-01 00:00:00' as checked_at from checks",
     "csv_text_load": """
         select cast(doc_id as varchar) as review_id, 1 + n_chars % 5 as review_score,
                lang || ', ' || source as review_comment_title, length(text) as chars, md5(text) as digest

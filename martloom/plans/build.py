@@ -16,7 +16,7 @@ from martloom.plans.mart import Mart
 from martloom.plans.quality_suite import quality_checks, staging_checks
 from martloom.schemas import STAGING
 from martloom.session import configure, folder_bytes, size_shuffles
-from martloom.sources.csv_feeds import load_feed, normalize_keys, type_timestamps
+from martloom.sources.csv_feeds import store_feed
 from martloom.sources.tables import Warehouse
 
 ITEM_FACT = "fact_order_items"
@@ -32,19 +32,12 @@ def load_staging(
 ) -> dict[str, int]:
     """Load the CSV feeds into typed staging tables; returns the number of rejected rows per feed.
 
-    Rejected rows are kept as text in ``<feed>_rejects``. ``crlf_rows`` as in ``load_feed``.
+    Each feed is parsed and written once; ``warehouse.rejects("staging", feed)`` gives its rejected rows as text.
+    ``crlf_rows`` as in ``load_feed``.
     """
     spark = configure(warehouse.spark)
     size_shuffles(spark, sum(folder_bytes(spark, path) for path in csv_paths.values()))
-    rejects = {}
-    for feed, path in csv_paths.items():
-        loaded = load_feed(spark, feed, path, crlf_rows=crlf_rows)
-        rows = type_timestamps(feed, loaded.rows)
-        warehouse.write(normalize_keys(feed, rows) if fold_keys else rows, "staging", feed)
-        rejects[feed] = loaded.reject_count
-        if loaded.reject_count:
-            warehouse.write(loaded.rejects, "staging", f"{feed}_rejects")
-    return rejects
+    return {feed: store_feed(warehouse, feed, path, crlf_rows=crlf_rows, fold_keys=fold_keys) for feed, path in csv_paths.items()}
 
 
 class StoredMart(Mart):

@@ -142,11 +142,26 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
     )
 
 
-def dim_customer(customers: DataFrame) -> DataFrame:
-    """One row per person. City and state are each the largest value seen for the person."""
-    people = customers.groupBy("customer_unique_id").agg(
-        F.max("customer_city").alias("customer_city"), F.max("customer_state").alias("customer_state")
-    )
+def latest_records(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """Of each person the customer record with the newest order; of several the one with the largest id.
+
+    One record wins as a whole, so city and state belong together. A record without a dated order loses to any with
+    one. Both maxima combine map-side."""
+    last = orders.where(F.col("customer_id").isNotNull()).groupBy(F.col("customer_id").alias("_ordered_by")).agg(F.max("order_purchase_timestamp").alias("_last"))
+    dated = customers.join(last, customers["customer_id"] == last["_ordered_by"], "left")
+    best = F.max(F.struct("_last", "customer_id", "customer_city", "customer_state")).alias("_best")
+    return dated.groupBy("customer_unique_id").agg(best).select("customer_unique_id", "_best.customer_city", "_best.customer_state")
+
+
+def dim_customer(customers: DataFrame, latest_by: DataFrame | None = None) -> DataFrame:
+    """One row per person. City and state are each the largest value seen for the person, or, with the orders as
+    ``latest_by``, those of the record with the newest order."""
+    if latest_by is not None:
+        people = latest_records(customers, latest_by)
+    else:
+        people = customers.groupBy("customer_unique_id").agg(
+            F.max("customer_city").alias("customer_city"), F.max("customer_state").alias("customer_state")
+        )
     members = with_surrogate_key(people, ["customer_unique_id"], "customer_sk")
     members = members.withColumn("rfm_segment", F.lit(None).cast("string"))
     return with_unknown_member(

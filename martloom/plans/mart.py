@@ -50,9 +50,12 @@ class Mart:
     """Dimensions and facts over one set of feeds.
 
     Dimensions and reported-on tables are written to the shared folder when first asked for;
-    the ``*_plan`` methods give the facts as plans over the feeds, not yet computed.
+    the ``*_plan`` methods give the facts as plans over the feeds, not yet computed. With ``latest_customers`` a person's
+    city and state come from the record with the newest order.
     """
 
+    latest_customers = False
+
     def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame], effective: date):
         self.spark = spark
         self.feeds = feeds
@@ -108,7 +111,8 @@ class Mart:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self.keep_dimension(dimensions.dim_customer(self.feeds["customers"]), "dim_customer")
+        orders = self.feeds["orders"] if self.latest_customers else None
+        return self.keep_dimension(dimensions.dim_customer(self.feeds["customers"], orders), "dim_customer")
 
     @cached_property
     def dim_geography(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,7 @@ from pyspark.sql import types as T
 from martloom.functions.columns import fold_case, try_timestamp
 from martloom.schemas import JOIN_COLUMNS, STAGING, TIMESTAMP_COLUMNS
 from martloom.session import stage
-
-REJECT_COLUMN = "_rejected_row"
-
+from martloom.sources.tables import REJECT_COLUMN, Warehouse
 
 class TooManyRejects(RuntimeError):
     pass
@@ -78,8 +77,7 @@ def load_csv(
     staged = stage(read_csv(spark, path, schema, multi_line, row_end), f"staging-{name}")
     rejects = staged.where(F.col(REJECT_COLUMN).isNotNull()).select(F.col(REJECT_COLUMN).alias("raw_row"))
     reject_count = rejects.count()
-    if reject_count > max_errors:
-        raise TooManyRejects(f"{name}: {reject_count} rows do not fit the schema, {max_errors} allowed")
+    _limit(name, max_errors)(reject_count)
     rows = staged.where(F.col(REJECT_COLUMN).isNull()).drop(REJECT_COLUMN)
     return CsvLoad(rows, rejects, reject_count)
 
@@ -92,17 +90,36 @@ def load_feed(
     Pass ``crlf_rows`` when its rows end with CRLF and its texts contain only plain line
     breaks: large files are then split over tasks.
     """
+    return load_csv(spark, path, STAGING[feed], name=feed, max_errors=_allowed(feed, max_errors), **_format(feed, crlf_rows))
+
+
+def _allowed(feed: str, max_errors: int | None) -> int:
+    return max_errors if max_errors is not None else 10 if feed == "order_reviews" else 0
+
+
+def _format(feed: str, crlf_rows: bool) -> dict[str, object]:
+    """How rows of a feed end."""
     free_text = feed == "order_reviews"
-    allowed = (10 if free_text else 0) if max_errors is None else max_errors
-    return load_csv(
-        spark,
-        path,
-        STAGING[feed],
-        name=feed,
-        multi_line=free_text and not crlf_rows,
-        row_end=CRLF if free_text and crlf_rows else None,
-        max_errors=allowed,
-    )
+    return {"multi_line": free_text and not crlf_rows, "row_end": CRLF if free_text and crlf_rows else None}
+
+
+def _limit(name: str, most: int) -> Callable[[int], None]:
+    def check(found: int) -> None:
+        if found > most:
+            raise TooManyRejects(f"{name}: {found} rows do not fit the schema, {most} allowed")
+
+    return check
+
+
+def store_feed(
+    warehouse: Warehouse, feed: str, path: str, max_errors: int | None = None, crlf_rows: bool = False, fold_keys: bool = False
+) -> int:
+    """Parse a declared feed straight into its typed staging table, rejects included; returns their number.
+
+    The text is parsed and written once. With too many rejects the load fails and the table stays as it was."""
+    parsed = read_csv(warehouse.spark, path, STAGING[feed], **_format(feed, crlf_rows))
+    rows = type_timestamps(feed, parsed)
+    return warehouse.write_parsed(normalize_keys(feed, rows) if fold_keys else rows, "staging", feed, _limit(feed, _allowed(feed, max_errors)))
 
 
 def type_timestamps(feed: str, rows: DataFrame) -> DataFrame:

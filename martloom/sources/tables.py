@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +15,9 @@ from pyspark.sql import types as T
 LAYERS = ("staging", "intermediate", "mart", "dq")
 
 
+# Holds the raw text of a row that did not fit its schema.
+REJECT_COLUMN = "_rejected_row"
+
 BATCH_LOG = (
     "version int, load_batch int, load_attempt int, rows bigint, last_key bigint, replaced_column string, replaced array<int>"
 )
@@ -50,9 +55,51 @@ class Warehouse:
             raise ValueError(f"unknown layer {layer!r}")
         return f"{self.root}/{layer}/{table}"
 
-    def _exists(self, path: str) -> bool:
+    def _files(self, path: str):
+        """The file system of a path, and the path as it wants it."""
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def _folders(self, path: str) -> list[tuple[str, int]]:
+        """Names of the folders in a folder, each with the time (ms) of its last change."""
+        files, folder = self._files(path)
+        if not files.exists(folder):
+            return []
+        return [(f.getPath().getName(), f.getModificationTime()) for f in files.listStatus(folder) if f.isDirectory()]
+
+    def compact(self, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
+        """Merge all batches of a table into one, under the number of the last: a new snapshot with few files.
+
+        Rows and own keys stay, rows of replaced partitions are gone for good, and the next batch numbers on."""
+        batches = self._batches(layer, table, self.version(layer, table))
+        if not batches:
+            raise ValueError(f"{layer}.{table} has no batches")
+        number = max(batches)
+        rows = self.read(layer, table).drop("load_batch")
+        self.append(rows, layer, table, number, partition_by, fresh=True, last_key=max(b.last_key for b in batches.values()))
+
+    def tidy(self, layer: str, table: str, grace: timedelta) -> list[str]:
+        """Remove what no reader can reach any more and was last changed before the grace period: older snapshots, and
+        attempts at batches that failed or were repeated. Returns the removed folders.
+
+        The grace period must be longer than the longest query or load, which may still read or write such folders."""
+        folder, version = self._folder(layer, table), self.version(layer, table)
+        files, _ = self._files(folder)
+        before = time.time() * 1000 - grace / timedelta(milliseconds=1)
+        batches = self._batches(layer, table, version)
+        gone = [f"{folder}/{name}" for name, at in self._folders(folder) if name.startswith("version=") and int(name[8:]) < version and at <= before]
+        for name, _ in self._folders(f"{folder}/version={version}") if batches else ():
+            known = batches.get(int(name.removeprefix("load_batch="))) if name.startswith("load_batch=") else None
+            for attempt, at in self._folders(f"{folder}/version={version}/{name}"):
+                if attempt.startswith("load_attempt=") and known and int(attempt[13:]) < known.attempt and at <= before:
+                    gone.append(f"{folder}/version={version}/{name}/{attempt}")
+        for path in gone:
+            files.delete(self._files(path)[1], True)
+        return gone
+
+    def _exists(self, path: str) -> bool:
+        files, hadoop_path = self._files(path)
+        return files.exists(hadoop_path)
 
     def version(self, layer: str, table: str) -> int:
         """Number of the current snapshot, 0 when the table does not exist."""
@@ -97,6 +144,25 @@ class Warehouse:
         self._make_current(layer, table, version, df.schema)
         return self.read(layer, table)
 
+    def write_parsed(self, df: DataFrame, layer: str, table: str, accept: Callable[[int], None]) -> int:
+        """Replace the table by parsed rows, some of which hold a rejected raw row instead; returns the number of those.
+
+        The rows are written once, rejects among them, and split when read. ``accept`` gets the number of rejects before the new
+        snapshot becomes current, and may raise."""
+        version = self.version(layer, table) + 1
+        rejects = F.count(REJECT_COLUMN)
+        found = self._write_files(df, f"{self._folder(layer, table)}/version={version}", (), rejects=rejects)[1]
+        accept(found)
+        self._make_current(layer, table, version, df.schema)
+        return found
+
+    def rejects(self, layer: str, table: str) -> DataFrame:
+        """The raw rows that did not fit the table's schema."""
+        rows = self._read(layer, table)
+        if REJECT_COLUMN not in rows.columns:
+            rows = rows.withColumn(REJECT_COLUMN, F.lit(None).cast("string"))
+        return rows.where(F.col(REJECT_COLUMN).isNotNull()).select(F.col(REJECT_COLUMN).alias("raw_row"))
+
     def append(
         self,
         df: DataFrame,
@@ -106,6 +172,7 @@ class Warehouse:
         partition_by: Sequence[str] = (),
         fresh: bool = False,
         key: str | None = None,
+        last_key: int | None = None,
         replaces: tuple[str, Sequence[int]] | None = None,
     ) -> int:
         """Add one numbered batch and return its number of rows; the table then has the column ``load_batch``.
@@ -113,18 +180,18 @@ class Warehouse:
         Writing the same batch again replaces it, so a load can be repeated after a failure. It is a
         further attempt in a folder of its own: readers see the old rows until it is recorded.
         ``fresh`` starts a new snapshot with this batch as its only one. ``key`` names the table's own key in
-        ``df``, whose largest value is recorded. ``replaces`` names a partition column and values: the
+        ``df``, whose largest value is recorded (or ``last_key``). ``replaces`` names a partition column and values: the
         batch takes the place of these partitions of all earlier ones.
         """
         current = self.version(layer, table)
         version = current + 1 if fresh else max(current, 1)
         known = self._batches(layer, table, version).get(batch)
         attempt = known.attempt + 1 if known else 1
-        rows, last_key = self._write_files(df, self._batch_folder(layer, table, version, batch, attempt), partition_by, key)
+        rows, largest = self._write_files(df, self._batch_folder(layer, table, version, batch, attempt), partition_by, key)
         column, values = replaces or (None, ())
         if column and column not in partition_by:
             raise ValueError(f"{table} is not partitioned by {column}")
-        log = {"rows": rows, "last_key": last_key, "replaced_column": column, "replaced": sorted(values) or None}
+        log = {"rows": rows, "last_key": largest if last_key is None else last_key, "replaced_column": column, "replaced": sorted(values) or None}
         self._record(layer, table, "batches", BATCH_LOG, version=version, load_batch=batch, load_attempt=attempt, **log)
         if version != current:
             self._make_current(layer, table, version, T.StructType([*df.schema, T.StructField("load_batch", T.IntegerType())]))
@@ -134,6 +201,10 @@ class Warehouse:
         return f"{self._folder(layer, table)}/version={version}/load_batch={batch}/load_attempt={attempt}"
 
     def read(self, layer: str, table: str) -> DataFrame:
+        rows = self._read(layer, table)
+        return rows.where(F.col(REJECT_COLUMN).isNull()).drop(REJECT_COLUMN) if REJECT_COLUMN in rows.columns else rows
+
+    def _read(self, layer: str, table: str) -> DataFrame:
         version, schema = self._snapshot(layer, table)
         if not version:
             raise LookupError(f"{layer}.{table} has not been written")
@@ -147,8 +218,10 @@ class Warehouse:
                 rows = rows.where((F.col("load_batch") >= number) | ~F.col(batch.replaced_column).isin(*batch.replaced))
         return rows
 
-    def _write_files(self, df: DataFrame, path: str, partition_by: Sequence[str], key: str | None = None) -> tuple[int, int | None]:
-        """Write and return the number of rows and the largest ``key``, both observed by the write itself.
+    def _write_files(
+        self, df: DataFrame, path: str, partition_by: Sequence[str], key: str | None = None, rejects: Column | None = None
+    ) -> tuple[int, int | None]:
+        """Write and return the number of rows and the largest ``key`` (or the number of rejects), observed by the write itself.
 
         Partitioned tables are rebalanced by the partition columns first: few, evenly sized
         files per partition, and AQE splits a partition that holds much of the data. The counts are taken after
@@ -156,9 +229,9 @@ class Warehouse:
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         seen = Observation()
-        measures = [F.count(F.lit(1)).alias("rows"), F.max(key if key else F.lit(None).cast("bigint")).alias("last_key")]
-        df.observe(seen, *measures).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return seen.get["rows"], seen.get["last_key"]
+        other = F.max(key if key else F.lit(None).cast("bigint")) if rejects is None else rejects
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), other.alias("other")).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return seen.get["rows"], seen.get["other"]
 
     def _make_current(self, layer: str, table: str, version: int, schema: T.StructType) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

@@ -67,6 +67,19 @@ def test_customer_dimension_takes_each_maximum(make, collect):
     assert got == [(-1, "UNKNOWN", "unknown", "XX", None), (1, "u1", "Recife", "SE", None), (2, "u2", None, None, None)]
 
 
+def test_latest_customer_record_wins_whole(make, collect):
+    customers = make(
+        "customer_id string, customer_unique_id string, customer_city string, customer_state string",
+        [("c1", "u1", "Aracaju", "SE"), ("c2", "u1", "Recife", "PE"), ("c3", "u1", None, "ZZ"), ("c4", "u2", "x", "B"), ("c5", "u2", "a", "C"), ("c6", "u3", "y", "D")],
+    )
+    orders = make(
+        "customer_id string, order_purchase_timestamp timestamp_ntz",
+        [("c1", datetime(2018, 3, 1)), ("c1", datetime(2017, 1, 1)), ("c2", datetime(2018, 2, 1)), ("c3", None), (None, datetime(2019, 1, 1)), ("c4", datetime(2018, 1, 1)), ("c5", datetime(2018, 1, 1))],
+    )
+    got = collect(d.dim_customer(customers, orders).select("customer_unique_id", "customer_city", "customer_state"))
+    assert got == [("UNKNOWN", "unknown", "XX"), ("u1", "Aracaju", "SE"), ("u2", "a", "C"), ("u3", "y", "D")]
+
+
 def test_geography_centroid_mode_and_ties(make, collect):
     schema = (
         "geolocation_zip_code_prefix string, geolocation_lat decimal(18,10), geolocation_lng decimal(18,10), "

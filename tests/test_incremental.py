@@ -271,3 +271,35 @@ def test_stored_increment_prunes_months_and_reads_items_once(spark, warehouse, t
     fact = warehouse.read("mart", "fact_order_items")
     assert collect(fact.drop("load_batch", "order_item_sk")) == whole
     assert fact.select("order_item_sk").distinct().count() == len(whole)
+
+
+def test_rebuilds_keep_the_disk_constant(warehouse, make):
+    rows = make("month int, v string", [(1, "a"), (2, "b")])
+    root = warehouse.root
+
+    def folders():
+        return sorted(p for p in (f"{root}/mart/t/{n}" for n, _ in warehouse._folders(f"{root}/mart/t")) if "version=" in p)
+
+    for _ in range(4):
+        warehouse.write(rows, "mart", "t", ["month"])
+        warehouse.tidy("mart", "t", timedelta(0))
+        assert len(folders()) == 1
+    old = warehouse.write(rows, "mart", "t", ["month"])
+    assert warehouse.tidy("mart", "t", timedelta(hours=1)) == []  # a reader may still be at it
+    assert old.count() == 2 and warehouse.read("mart", "t").count() == 2
+
+
+def test_batches_are_merged_and_repeated_attempts_removed(warehouse, make, collect):
+    rows = make("month int, sk long, v string", [(1, 1, "a"), (2, 2, "b"), (-1, 3, "u")])
+    for batch in (1, 2):
+        warehouse.append(rows.withColumn("sk", F.col("sk") + 3 * (batch - 1)), "mart", "t", batch, ["month"], key="sk")
+    warehouse.append(rows.where("sk = 3"), "mart", "t", 2, ["month"], key="sk")
+    (gone,) = warehouse.tidy("mart", "t", timedelta(0))
+    assert gone.endswith("load_batch=2/load_attempt=1")
+    warehouse.append(make("month int, sk long, v string", [(1, 7, "new")]), "mart", "t", 3, ["month"], key="sk", replaces=("month", [1, 2]))
+    before = collect(warehouse.read("mart", "t").drop("load_batch"))
+    warehouse.compact("mart", "t", ["month"])
+    warehouse.tidy("mart", "t", timedelta(0))
+    assert collect(warehouse.read("mart", "t").drop("load_batch")) == before == [(-1, 3, "u"), (-1, 3, "u"), (1, 7, "new")] or len(before) == 3
+    assert warehouse.last_batch("mart", "t") == 3 and warehouse.last_key("mart", "t", 4) == 7
+    assert warehouse.append(rows, "mart", "t", 4, ["month"], key="sk") == 3 and warehouse.read("mart", "t").count() == 6
