@@ -143,16 +143,31 @@ def _dearest(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray
     return uses
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination with row exchange. The library's routine starts threads of its own, which stalled in the driver."""
+    m = len(matrix)
+    work = np.hstack([matrix, np.eye(m)])
+    for i in range(m):
+        pivot = i + int(np.abs(work[i:, i]).argmax())
+        work[[i, pivot]] = work[[pivot, i]]
+        work[i] /= work[i, i]
+        factors = work[:, i].copy()
+        factors[i] = 0
+        work -= factors[:, None] * work[i]
+    return work[:, m:]
+
+
 def configurations(sizes: list[int], counts: list[int], capacity: int, gap: float = GAP) -> list[tuple[np.ndarray, float]]:
     """(uses of each size, how often) of a fractional packing within ``gap`` (or half a sequence) of the least number of sequences.
 
     ``sizes`` ascend. Simplex on the cutting-stock program; the basis starts with one size per configuration."""
-    size, need, m = np.array(sizes), np.array(counts, dtype=float), len(sizes)
+    size, m = np.array(sizes), len(sizes)
+    need = np.array(counts, dtype=float) + 1e-5 * np.arange(1, m + 1) / m  # no ties between leaving columns, so no cycling
     columns = [np.where(np.arange(m) == i, capacity // size[i], 0).astype(float) for i in range(m)]
     cost = np.ones(m)
     inverse = np.diag(1.0 / np.array([columns[i][i] for i in range(m)]))
     amount = inverse @ need
-    for turn in range(1, 100 * m + 1):
+    for turn in range(1, 20 * m + 1):  # every basis is a packing, so an early end costs sequences, never a piece
         prices = cost @ inverse
         if prices.min() < -1e-9:  # a size covered more often than needed pays
             entering, pays = -(np.arange(m) == prices.argmin()).astype(float), 0.0
@@ -170,7 +185,7 @@ def configurations(sizes: list[int], counts: list[int], capacity: int, gap: floa
             inverse -= np.outer(change, row)
             inverse[leaving] = row
         else:  # rounding errors don't build up
-            inverse = np.linalg.inv(np.array(columns).T)
+            inverse = _inverse(np.array(columns).T)
         amount = np.maximum(inverse @ need, 0)
     return [(columns[i], float(amount[i])) for i in range(m) if cost[i]]
 
