@@ -3,7 +3,7 @@
 A cut falls where bits of the rolling hash are zero; these bits depend on the last 16 bytes alone, so an
 insertion moves cuts only near itself. Each chunk has a 128-bit digest. Digests found in two or more
 documents mark their chunks, and neighbouring marked chunks form a repeat; short repeats are
-coincidence and dropped. The first holder of a chunk (smallest id, then place) keeps it.
+coincidence and dropped, but for copies of whole texts. The first holder of a chunk (in the table's order) keeps it.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -54,7 +54,8 @@ def cuts(data: bytes) -> list[int]:
 
 
 def chunks_of(text: str | None) -> list[dict]:
-    """Chunks with their byte spans, number of words that begin in them, and digest."""
+    """Chunks with their place and digest. ``at`` holds, from its low bits on: whether the digest came before in
+    this text (1 bit), words that begin in the chunk (6), its bytes (7), its first byte."""
     data = (text or "").encode("utf-8", "surrogatepass")
     ends = cuts(data)
     if not ends:
@@ -62,17 +63,30 @@ def chunks_of(text: str | None) -> list[dict]:
     codes = np.frombuffer(data, dtype=np.uint8)
     ink = ~((codes == 32) | ((codes >= 9) & (codes <= 13)))
     begins = np.cumsum(ink & np.concatenate([[True], ~ink[:-1]]))
-    out, start, before = [], 0, 0
-    for i, end in enumerate(ends):
+    out, seen, start, before = [], set(), 0, 0
+    for end in ends:
         digest = xxhash.xxh3_128_digest(data[start:end])
         words = int(begins[end - 1])
-        out.append({"i": i, "start": start, "end": end, "words": words - before, "hi": int.from_bytes(digest[:8], "big", signed=True), "lo": int.from_bytes(digest[8:], "big", signed=True)})
+        at = start << 14 | (end - start) << 7 | (words - before) << 1 | (digest in seen)
+        out.append({"at": at, "hi": int.from_bytes(digest[:8], "big", signed=True), "lo": int.from_bytes(digest[8:], "big", signed=True)})
+        seen.add(digest)
         start, before = end, words
     return out
 
 
-_INTS = [T.StructField(c, T.IntegerType()) for c in ("i", "start", "end", "words")]
-_CHUNKS = T.ArrayType(T.StructType([*_INTS, *[T.StructField(c, T.LongType()) for c in ("hi", "lo")]]))
+_CHUNKS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("at", "hi", "lo")]))
+
+
+def _start(at: Column) -> Column:
+    return F.shiftrightunsigned(at, 14)
+
+
+def _bytes(at: Column) -> Column:
+    return F.shiftrightunsigned(at, 7).bitwiseAND(127)
+
+
+def _words(at: Column) -> Column:
+    return F.shiftrightunsigned(at, 1).bitwiseAND(63)
 
 
 @F.pandas_udf(_CHUNKS)
@@ -80,31 +94,59 @@ def _chunks(texts: pd.Series) -> pd.Series:
     return texts.map(chunks_of)
 
 
-def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, apart: bool = False) -> DataFrame:
-    """(_row, doc_id, start, end, words, chunks, later, first_ids): spans of whole chunks, in bytes of the
-    UTF-8 text, that other rows hold too. ``later``: chunks of it that an earlier row keeps;
-    ``first_ids``: the ids of the rows that keep its chunks. ``apart``: a span ends where its chunks change from
-    those that an earlier row keeps to those that the row keeps itself, so all of it is kept by one side, and the word bound is on each such span.
-
-    Repeated rows are copies of each other and repeat wholly, if they have ``least_words``; null ids come last. Null and empty texts
-    have no chunks. Only doc_id and text are read, and ``_row`` if there is one.
-    """
+def _chunked(docs: DataFrame) -> DataFrame:
+    """_row, doc_id, c (chunks), size, md5 of the text, staged."""
     row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
-    chunked = stage(docs.select(row.alias("_row"), "doc_id", _chunks(F.col("text")).alias("c")), "chunks")
-    each = chunked.select("_row", "doc_id", F.explode("c").alias("c")).select("_row", "doc_id", "c.*")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"), F.col("i").alias("i"))
-    digests = each.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.min("_row").alias("a"), F.max("_row").alias("b")).where("a != b").select("hi", "lo", "first")
+    text = F.col("text").cast("binary")
+    return stage(docs.select(row.alias("_row"), "doc_id", F.octet_length("text").alias("size"), F.md5(text).alias("md5"), _chunks(F.col("text")).alias("c")), "chunks")
+
+
+def _spans(chunked: DataFrame, least_words: int, apart: bool) -> DataFrame:
+    """_row, start, end, words, chunks, later, firsts (rows that keep its chunks)."""
+    each = chunked.select("_row", F.explode("c").alias("c")).select("_row", "c.*")
+    # Only what the shuffles need goes through them: longs, so that both sums are hash aggregates.
+    digests = each.groupBy("hi", "lo").agg(F.min("_row").alias("first"), F.max("_row").alias("last")).where("first != last").drop("last")
+    later = (F.col("first") != F.col("_row")) | (F.col("at").bitwiseAND(1) == 1)
+    at = F.col("at")
     marked = each.join(digests, ["hi", "lo"]).select(
-        "_row", "doc_id", "i", "start", "end", "words", F.col("first.id").alias("first_id"),
-        ((F.col("first.row") != F.col("_row")) | (F.col("first.i") != F.col("i"))).cast("int").alias("later"),
-    )
+        "_row", "first", _start(at).cast("int").alias("start"), (_start(at) + _bytes(at)).cast("int").alias("end"), _words(at).alias("words"), later.cast("int").alias("later")
+    )
     kind = ["later"] if apart else []
-    run = F.col("i") - F.row_number().over(Window.partitionBy("_row", *kind).orderBy("i"))
-    spans = marked.withColumn("run", run).groupBy("_row", "doc_id", "run", *kind).agg(
+    order = Window.partitionBy("_row", *kind).orderBy("start")
+    begins = (F.coalesce(F.lag("end").over(order), F.lit(-1)) != F.col("start")).cast("int")
+    runs = marked.withColumn("run", begins).withColumn("run", F.sum("run").over(order))
+    return runs.groupBy("_row", "run", *kind).agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("chunks"),
-        F.sum("later").alias("_later"), F.array_sort(F.collect_set("first_id")).alias("first_ids"),
-    )
-    return spans.where(F.col("words") >= least_words).select("_row", "doc_id", "start", "end", "words", "chunks", F.col("_later").alias("later"), "first_ids")
+        F.sum("later").alias("_later"), F.collect_set("first").alias("firsts"),
+    ).where(F.col("words") >= least_words).select("_row", "start", "end", "words", "chunks", F.col("_later").alias("later"), "firsts")
+
+
+def _short_copies(chunked: DataFrame, least_words: int) -> DataFrame:
+    """Whole texts that other rows hold too, of one word up to what ``_spans`` reports; columns as there."""
+    words = F.aggregate("c", F.lit(0).cast("bigint"), lambda n, c: n + _words(c["at"]))
+    texts = chunked.select("_row", "size", "md5", words.alias("words"), F.size("c").cast("bigint").alias("chunks")).where((F.col("words") > 0) & (F.col("words") < least_words))
+    firsts = texts.groupBy("md5", "size").agg(F.min("_row").alias("first"), F.max("_row").alias("last")).where("first != last")
+    later = F.when(F.col("first") == F.col("_row"), F.lit(0)).otherwise(F.col("chunks"))
+    return texts.join(firsts, ["md5", "size"]).select("_row", F.lit(0).alias("start"), F.col("size").alias("end"), "words", "chunks", later.alias("later"), F.array("first").alias("firsts"))
+
+
+def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, apart: bool = False) -> DataFrame:
+    """(_row, doc_id, start, end, words, chunks, later, first_ids): spans of whole chunks, in bytes of the
+    UTF-8 text, that other rows hold too. ``later``: chunks of it that an earlier row keeps, or an earlier place
+    of the row; ``first_ids``: the ids of the rows that keep its chunks, without nulls. Rows are in the order
+    of the table, or of ``_row`` if there is one. ``apart``: a span ends where its chunks change from
+    those that are kept earlier to those that the row keeps itself, so all of it is kept by one side, and the word bound is on each such span.
+
+    Repeated rows are copies of each other and repeat wholly, at any length of one word or more. Null and empty texts
+    have no chunks. Only doc_id, text and ``_row`` are read.
+    """
+    chunked = _chunked(docs)
+    spans = _spans(chunked, least_words, apart).unionByName(_short_copies(chunked, least_words))
+    ids = chunked.select("_row", "doc_id")
+    spans = spans.join(ids, "_row")
+    holders = spans.select("_row", "start", F.explode("firsts").alias("first")).join(ids.select(F.col("_row").alias("first"), F.col("doc_id").alias("id")), "first")
+    holders = holders.groupBy("_row", "start").agg(F.array_sort(F.collect_set("id")).alias("first_ids"))
+    return spans.join(holders, ["_row", "start"]).select("_row", "doc_id", "start", "end", "words", "chunks", "later", "first_ids")
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
@@ -119,7 +161,8 @@ def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFram
     """``docs`` with every part of a repeat that earlier rows keep cut out of ``text``; what the row
     keeps itself stays. Cuts fall back to whole characters."""
     numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "chunk-docs")
-    spans = repeats(numbered, least_words, apart=True).where("later > 0").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
+    chunked = _chunked(numbered)
+    spans = _spans(chunked, least_words, apart=True).unionByName(_short_copies(chunked, least_words)).where("later > 0").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -316,6 +316,65 @@ def test_repeats(docs, empty, make):
     assert len(kept[2]) < len(text[2]) - 150 and all(kept[i] == text[i].decode() for i in (1, 3, 4, 5))
 
 
+def plain_cuts(data):
+    """The gear hash byte by byte."""
+    out, start, h = [], 0, 0
+    for p, byte in enumerate(data, 1):
+        h = (2 * h + int(chunk_dedup._GEAR[byte])) % 2**16
+        if p - start == chunk_dedup.MOST_BYTES or p == len(data) or (h >> 11 == 0 and p - start >= chunk_dedup.LEAST_BYTES):
+            out.append(p)
+            start = p
+    return out
+
+
+def plain_repeats(texts, least):
+    """(row, start, end, words, later, ids of first holders) of every run of chunks that two rows hold."""
+    chunks, holders = {}, {}
+    for row, text in enumerate(texts):
+        data, start = (text or "").encode(), 0
+        chunks[row] = []
+        for end in plain_cuts(data):
+            begun = sum(not data[k : k + 1].isspace() and (k == 0 or data[k - 1 : k].isspace()) for k in range(start, end))
+            chunks[row].append((start, end, begun, data[start:end]))
+            holders.setdefault(data[start:end], []).append((row, start))
+            start = end
+    out = []
+    for row, own in chunks.items():
+        run, total = [], sum(c[2] for c in own)
+        for c in [*own, None]:
+            if c and len({r for r, _ in holders[c[3]]}) > 1:
+                run.append(c)
+                continue
+            if run and sum(r[2] for r in run) >= least:
+                first = [holders[r[3]][0] for r in run]
+                out.append((row, run[0][0], run[-1][1], sum(r[2] for r in run), sum(f != (row, r[0]) for f, r in zip(first, run)), sorted({f[0] for f in first})))
+            run = []
+        same = [r for r, t in enumerate(texts) if t == texts[row]]
+        if 0 < total < least and len(same) > 1:
+            out.append((row, 0, own[-1][1], total, len(own) if row != same[0] else 0, same[:1]))
+    return sorted(out)
+
+
+def test_repeats_match_plain_version(make):
+    rng = np.random.default_rng(12)
+    parts = [" ".join(f"w{i}" for i in rng.integers(0, 5000, size=n)) for n in (8, 30, 60, 90)]
+    texts = [None, "", " ", " ", "two words", "two words", "ü " * 400, "\u00a0\x85\x1c " * 90, LONG, LONG]
+    texts += [" ".join([parts[k], " ".join(f"v{i}" for i in rng.integers(0, 9**6, size=rng.integers(0, 40))), parts[j]]) for k in range(4) for j in range(4)]
+    for text in [t for t in texts if t]:
+        assert chunk_dedup.cuts(text.encode()) == plain_cuts(text.encode())
+    table = make("doc_id long, text string, _ids string, first long, at long", [(i, t, "x", 1, 2) for i, t in enumerate(texts)])
+    for least in (10, 25):
+        found = chunk_dedup.repeats(table.withColumn("_row", F.col("doc_id")), least).collect()
+        assert sorted((r["doc_id"], r["start"], r["end"], r["words"], r["later"], r["first_ids"]) for r in found) == plain_repeats(texts, least)
+    empty_rows = chunk_dedup.repeat_report(table.limit(0))
+    assert empty_rows.count() == 0 and "first_ids" in empty_rows.columns
+
+
+def test_short_copies_are_cut_whole(make):
+    kept = chunk_dedup.without_repeats(make("doc_id long, text string", [(1, "two words"), (2, "two words"), (None, "two words"), (4, "other words"), (5, None)])).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"] or "") for r in kept) == [(0, ""), (1, "two words"), (2, ""), (4, "other words"), (5, "")]
+
+
 def test_chunks_resist_insertions():
     data = LONG.encode()
     ends = chunk_dedup.cuts(data)
