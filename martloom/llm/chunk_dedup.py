@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,30 +54,42 @@ def cuts(data: bytes) -> list[int]:
     return out
 
 
-def chunks_of(text: str | None) -> list[dict]:
-    """Chunks with their place and digest. ``at`` holds, from its low bits on: whether the digest came before in
-    this text (1 bit), words that begin in the chunk (6), its bytes (7), its first byte."""
-    data = (text or "").encode("utf-8", "surrogatepass")
+def chunks_of(data: bytes) -> tuple[np.ndarray, bytes]:
+    """Place and digest (16 bytes each) of every chunk. A place holds, from its low bits on: whether the digest
+    came before in this text (1 bit), words that begin in the chunk (6), its bytes (7), its first byte."""
     ends = cuts(data)
     if not ends:
-        return []
+        return np.empty(0, dtype=np.int64), b""
     codes = np.frombuffer(data, dtype=np.uint8)
     ink = ~((codes == 32) | ((codes >= 9) & (codes <= 13)))
-    begins = np.cumsum(ink & np.concatenate([[True], ~ink[:-1]]))
-    out, seen, start, before = [], set(), 0, 0
-    for end in ends:
-        digest = xxhash.xxh3_128_digest(data[start:end])
-        words = int(begins[end - 1])
-        at = start << 14 | (end - start) << 7 | (words - before) << 1 | (digest in seen)
-        out.append({"at": at, "hi": int.from_bytes(digest[:8], "big", signed=True), "lo": int.from_bytes(digest[8:], "big", signed=True)})
-        seen.add(digest)
-        start, before = end, words
-    return out
+    begins = np.cumsum(ink & np.concatenate([[True], ~ink[:-1]]), dtype=np.int64)
+    end = np.array(ends, dtype=np.int64)
+    start, words = np.concatenate([[0], end[:-1]]), np.diff(begins[end - 1], prepend=0)
+    digests = [xxhash.xxh3_128_digest(data[i:j]) for i, j in zip(start.tolist(), ends)]
+    seen: set[bytes] = set()
+    again = np.array([d in seen or seen.add(d) is not None for d in digests])
+    return start << 14 | (end - start) << 7 | words << 1 | again, b"".join(digests)
 
 
 _CHUNKS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("at", "hi", "lo")]))
 
 
+@F.arrow_udf(_CHUNKS)
+def _chunks(texts: pa.Array) -> pa.Array:
+    # Flat arrays, one text at a time: a batch never exists as Python objects for each chunk.
+    places, digests, ends = [], [], [0]
+    for text in texts:
+        data = text.as_buffer()
+        at, own = chunks_of(data.to_pybytes() if data else b"")
+        places.append(at)
+        digests.append(own)
+        ends.append(ends[-1] + len(at))
+    pairs = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
+    columns = [np.concatenate([*places, np.empty(0, dtype=np.int64)]), pairs[:, 0], pairs[:, 1]]
+    each = pa.StructArray.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=["at", "hi", "lo"])
+    return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), each)
+
+
 def _start(at: Column) -> Column:
     return F.shiftrightunsigned(at, 14)
 
@@ -89,11 +102,6 @@ def _words(at: Column) -> Column:
     return F.shiftrightunsigned(at, 1).bitwiseAND(63)
 
 
-@F.pandas_udf(_CHUNKS)
-def _chunks(texts: pd.Series) -> pd.Series:
-    return texts.map(chunks_of)
-
-
 def _chunked(docs: DataFrame) -> DataFrame:
     """_row, doc_id, c (chunks), size, md5 of the text, staged."""
     row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
