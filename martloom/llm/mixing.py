@@ -5,7 +5,7 @@ Blocks are seats, targets are votes: a source's k-th block is granted while its
 ``target / (2k - 1)`` is at least half a block, which is the highest-quotient rule with the block as
 divisor. Shard j of J takes the seats granted while the threshold falls to J / (j + 1) of that, so
 quotas per shard are whole numbers and their running sums stay within half a block of the target.
-Whole passes over the stream come first; the rest is a run of blocks from a seeded place of it.
+Each shard takes as many blocks as its quota says, the next ones in a seeded order of the source's blocks.
 """
 
 from __future__ import annotations
@@ -27,8 +27,11 @@ SEED = 11
 # A source's stream is ordered bucket by bucket, so no sort group holds a whole source.
 BUCKETS = 4096
 
-ADDED = ["size", "source_size", "target", "taken"]
-_INNER = ["_order", "_bucket", "_key", "_before", "_first", "_lo", "_passes", "_from", "_rest", "_blocks", "_seats"]
+SHARDS = 8
+STRIDES = (1_000_003, 999_983, 999_979)  # primes
+
+ADDED = ["size", "source_size", "target", "taken", "shard_words"]
+_INNER = ["_order", "_bucket", "_key", "_before", "_within", "_first", "_lo", "_passes", "_extra", "_parts", "_ends", "_stride", "_blocks", "_seats"]
 
 
 def measured(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -96,12 +99,45 @@ def shard_quotas(targets: Targets, shards: int, block_words: int = BLOCK_WORDS)
     )
 
 
-def mix(docs: DataFrame, targets: Targets, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """``measured`` documents with source_size, target, taken, and where the taken words lie.
+def _edge(block: Column) -> Column:
+    """First word of a block; blocks differ by a word at most, the longer ones evenly spread."""
+    longer = F.col("source_size") % F.col("_blocks")
+    before = F.call_function("div", block.cast("decimal(19,0)") * longer.cast("decimal(19,0)"), F.col("_blocks").cast("decimal(19,0)"))
+    return block * ((F.col("source_size") - longer) / F.col("_blocks")).cast("bigint") + before
+
+
+def _draw(block: Column) -> Column:
+    """Place of a block in its source's seeded order; its d-th repeat comes d * _blocks later."""
+    return (block * F.col("_stride") + F.col("_first")) % F.col("_blocks")
+
+
+def _plan(targets: Targets, key: Column, block_words: int, seed: int, shards: int, scatter: bool) -> DataFrame:
+    """Per source: blocks, seats, the places at which each shard's quota ends, and the seeded order of blocks."""
+    quotas = shard_quotas(targets, shards, block_words).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("shard", "blocks"))).alias("_quota"))
+    ends = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda n: F.aggregate(F.slice("_quota", F.lit(1), n), F.lit(0).cast("bigint"), lambda t, q: t + q["blocks"]))
+    blocks, _, _ = _seats(block_words)
+    place = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), key), 256), 1, 8), 16, 10).cast("bigint")
+    # A stride without a common factor gives every block one place; at most two of the primes divide the number.
+    strides = [F.when(F.col("_blocks") % F.lit(prime) != 0, F.lit(prime).cast("bigint")) for prime in STRIDES]
+    return (
+        targets.table.withColumn("_key", key).withColumn("_blocks", F.greatest(blocks, F.lit(1)))
+        .join(quotas.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("_ends", ends).withColumn("_seats", F.element_at("_ends", -1))
+        .withColumn("_passes", F.floor(F.col("_seats") / F.col("_blocks")).cast("bigint"))
+        .withColumn("_stride", F.coalesce(*strides) if scatter else F.lit(1).cast("bigint"))
+        .withColumn("_first", place % F.col("_blocks"))
+        .select("_key", "source_size", "target", "_blocks", "_seats", "_passes", "_ends", "_stride", "_first")
+    )
+
+
+def mix(docs: DataFrame, targets: Targets, block_words: int = BLOCK_WORDS, seed: int = SEED, shards: int = SHARDS, scatter: bool = True) -> DataFrame:
+    """``measured`` documents with source_size, target, taken, shard_words (what each shard takes of them),
+    and the parts that are taken.
 
-    ``_passes``: how often the whole document is taken; ``_from``, ``_rest``: first word and number of
-    words of the source's stream that are taken once more (the run may pass the stream's end);
-    ``_lo``: the document's first word in the stream. Sources without words take nothing. Documents
+    A source's blocks stand in a seeded order, repeated as often as needed, and each shard takes the next
+    blocks of it, as many as its quota. ``scatter``: the order strides through the stream; else it is the
+    stream from a seeded block on, so that few documents are cut. ``_passes``: how often the whole document is
+    taken; ``_extra``: the parts (words before, words) taken once more. Sources without words take nothing. Documents
     without words lie in the stream with length 0. Repeated rows take what lies at their places.
     """
     key = F.sha2(F.concat(F.col("source").isNull().cast("string"), F.coalesce(F.col("source"), F.lit(""))), 256)
@@ -109,42 +145,58 @@ def mix(docs: DataFrame, targets: Targets, block_words: int = BLOCK_WORDS, seed:
     buckets = docs.groupBy("_key", "_bucket").agg(F.sum("size").alias("_words"))
     before = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select("_key", "_bucket", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_before"))
-
-    blocks, _, seats = _seats(block_words)
-    place = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), key), 256), 1, 8), 16, 10).cast("bigint")
-    size = F.col("source_size")
-    longer = size % F.col("_blocks")  # so many of the first blocks have a word more than the others
-    edge = lambda block: block * ((size - longer) / F.col("_blocks")).cast("bigint") + F.least(block, longer)
-    plan = (
-        targets.table.withColumn("_key", key).withColumn("_blocks", F.greatest(blocks, F.lit(1))).withColumn("_seats", seats)
-        .withColumn("_passes", F.floor(F.col("_seats") / F.col("_blocks")).cast("bigint"))
-        .withColumn("_first", place % F.col("_blocks"))
-        .withColumn("_end", F.col("_first") + F.col("_seats") % F.col("_blocks"))
-        .withColumn("_from", edge(F.col("_first")))
-        .withColumn("_rest", F.when(F.col("_end") <= F.col("_blocks"), edge(F.col("_end"))).otherwise(size + edge(F.col("_end") - F.col("_blocks"))) - F.col("_from"))
-        .select("_key", "source_size", "target", "_passes", "_from", "_rest")
-    )
-    buckets = buckets.join(plan, "_key")
+    buckets = buckets.join(_plan(targets, key, block_words, seed, shards, scatter), "_key")
     within = Window.partitionBy("_key", "_bucket").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = docs.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(buckets, ["_key", "_bucket"])
     placed = placed.withColumn("_lo", F.col("_before") + F.col("_within"))
-    return placed.withColumn("taken", F.col("_passes") * F.col("size") + _overlap(0) + _overlap(1)).drop("_key", "_bucket", "_order", "_before", "_within")
 
+    # The document's blocks by proportion, one more at either end, cut down to the document.
+    near = lambda word: F.floor(word * F.col("_blocks") / F.greatest(F.col("source_size"), F.lit(1))).cast("bigint")
+    hi = F.col("_lo") + F.col("size")
+    span = F.sequence(F.greatest(near(F.col("_lo")) - 1, F.lit(0)), F.least(near(hi) + 1, F.col("_blocks") - 1))
+
+    def part(block: Column) -> Column:
+        start, end = F.greatest(_edge(block), F.col("_lo")), F.least(_edge(block + 1), hi)
+        return F.struct(_draw(block).alias("draw"), (start - F.col("_lo")).alias("skip"), (end - start).alias("words"))
+
+    parts = F.filter(F.transform(span, part), lambda p: p["words"] > 0)
+    rest = F.col("_seats") % F.col("_blocks")
+    placed = placed.withColumn("_parts", F.when(F.col("size") > 0, parts).otherwise(F.filter(parts, lambda p: F.lit(False))))
+    chosen = F.transform(F.filter("_parts", lambda p: p["draw"] < rest), lambda p: F.struct(p["skip"].alias("skip"), p["words"].alias("words")))
+    placed = placed.withColumn("_extra", chosen if scatter else _runs(chosen))
+    added = F.aggregate("_extra", F.lit(0).cast("bigint"), lambda n, p: n + p["words"])
+    return placed.withColumn("taken", F.col("_passes") * F.col("size") + added).withColumn("shard_words", _by_shard(shards)).drop(*[c for c in _INNER if c not in ("_passes", "_extra")])
+
+
+def _runs(chosen: Column) -> Column:
+    """The chosen blocks of a document put together where they touch: in stream order a source's run is one
+    piece or, past the stream's end, two, so a document has at most two parts: the blocks up to the first gap and the others."""
+    gap = F.array_position(
+        F.transform(chosen, lambda p, i: (i > 0) & (p["skip"] != F.element_at(chosen, F.greatest(i, F.lit(1)))["skip"] + F.element_at(chosen, F.greatest(i, F.lit(1)))["words"])), F.lit(True)
+    ).cast("int")
+    upto = F.when(gap > 0, gap - 1).otherwise(F.size(chosen))
+    whole = lambda ps: F.struct(ps[0]["skip"].alias("skip"), F.aggregate(ps, F.lit(0).cast("bigint"), lambda n, p: n + p["words"]).alias("words"))
+    halves = F.array(F.slice(chosen, F.lit(1), upto), F.slice(chosen, upto + 1, F.size(chosen)))
+    return F.transform(F.filter(halves, lambda ps: F.size(ps) > 0), whole)
+
+
+def _by_shard(shards: int) -> Column:
+    """Words of the document in each shard: a block's d-th repeat is in the shard whose quota holds its place."""
+    turns = F.sequence(F.lit(0).cast("bigint"), F.col("_passes"))
+
+    def taken(p: Column, shard: Column) -> Column:
+        low = F.when(shard > 0, F.element_at("_ends", F.greatest(shard, F.lit(1)))).otherwise(F.lit(0))
+        here = F.filter(turns, lambda d: (p["draw"] + d * F.col("_blocks") >= low) & (p["draw"] + d * F.col("_blocks") < F.element_at("_ends", shard + 1)))
+        return F.size(here) * p["words"]
 
-def _overlap(turn: int) -> Column:
-    """Words of the document in the extra run, seen from the stream's ``turn``-th round."""
-    lo = F.col("_lo") + F.col("source_size") * turn
-    start, end = F.greatest(lo, F.col("_from")), F.least(lo + F.col("size"), F.col("_from") + F.col("_rest"))
-    return F.greatest(end - start, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda j: F.aggregate("_parts", F.lit(0).cast("bigint"), lambda n, p: n + taken(p, j)))
 
 
 def mixed_texts(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: a row for every whole pass over a document, and one for each part of it in
-    the extra run (at most two), cut at word ends and holding the text between its words."""
-    lo = F.col("_lo")
-    parts = [F.struct(F.greatest(F.col("_from") - lo - F.col("source_size") * t, F.lit(0)).alias("skip"), _overlap(t).alias("words")) for t in (0, 1)]
+    """The mix itself: a row for every whole pass over a document, and one for each of its further
+    parts, cut at word ends and holding the text between its words."""
     whole = F.array_repeat(F.struct(F.lit(0).cast("bigint").alias("skip"), F.col("size").alias("words")), F.col("_passes").cast("int"))
-    takes = F.concat(whole, F.filter(F.array(*parts), lambda p: p["words"] > 0))
+    takes = F.concat(F.when(F.col("size") > 0, whole).otherwise(F.slice(whole, 1, 0)), "_extra")
     rows = mixed.withColumn("_take", F.explode(takes))
     # A part is rebuilt from the pieces "white space, word"; a whole text is kept as it is.
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))

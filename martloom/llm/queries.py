@@ -30,7 +30,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sizes = stage(mixing.measured(docs).drop("text"), "mix-sizes")
     mixed = mixing.mix(sizes, mixing.source_targets(sizes))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "shard_words")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

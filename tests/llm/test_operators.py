@@ -108,6 +108,40 @@ def test_mixing(docs, empty, make):
         assert quotas[s] == int(t * -(-n // 16) / n + 0.5)
 
 
+@pytest.mark.parametrize("scatter", [True, False])
+def test_blocks_are_chosen_by_shard_quotas(make, scatter):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(int(n))), "abc"[i % 3] if i % 7 else None) for i, n in enumerate(rng.integers(0, 90, size=60))]
+    sizes = mixing.measured(make("doc_id long, text string, source string", rows))
+    targets, shards, seed = mixing.source_targets(sizes), 5, 3
+    mixed = mixing.mix(sizes, targets, 16, seed, shards, scatter)
+    out = {r["doc_id"]: r for r in mixed.collect()}
+    texts = {}
+    for r in mixing.mixed_texts(mixed, ["doc_id", "text"]).collect():
+        texts.setdefault(r["doc_id"], []).extend(r["text"].split())
+    order = {r["doc_id"]: (r["_bucket"], r["_order"], r["doc_id"]) for r in sizes.collect()}
+    for t in targets.table.collect():
+        stream = [(i, w) for i in sorted((i for i, _, s in rows if s == t["source"]), key=order.get) for w in rows[i][1].split()]
+        size, source = len(stream), t["source"]
+        blocks = -(-size // 16)
+        place = int(hashlib.sha256(f"{seed}:{hashlib.sha256((str(source is None).lower() + (source or '')).encode()).hexdigest()}".encode()).hexdigest()[:8], 16)
+        stride = next(p for p in mixing.STRIDES if blocks % p) if scatter else 1
+        at = {(b * stride + place) % blocks: b for b in range(blocks)}
+        assert len(at) == blocks
+        quota = [int(t["target"] * blocks / size * j / shards + 0.5) for j in range(shards + 1)]
+        words, by_shard, draw = {}, {}, 0
+        for shard in range(shards):
+            for draw in range(quota[shard], quota[shard + 1]):
+                b = at[draw % blocks]
+                for i, w in stream[b * size // blocks : (b + 1) * size // blocks]:
+                    words.setdefault(i, []).append(w)
+                    by_shard[i, shard] = by_shard.get((i, shard), 0) + 1
+        for i in (i for i, _, s in rows if s == source):
+            assert out[i]["taken"] == len(words.get(i, [])) and sorted(texts.get(i, [])) == sorted(words.get(i, []))
+            assert out[i]["shard_words"] == [by_shard.get((i, j), 0) for j in range(shards)]
+        assert abs(sum(len(words.get(i, [])) for i, _, s in rows if s == source) - t["target"]) <= (8 + blocks if scatter else 9)
+
+
 def fingerprint(text):
     w = (text or "").encode().lower().split()
     shingles = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
