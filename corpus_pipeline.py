@@ -75,7 +75,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (the same id and size) take what lies at their places, in any order."""
     sized = mixing.measured(_aside(docs))
     targets = mixing.source_targets(sized.select("source", "size"))
-    return _back(mixing.mixed_texts(mixing.mix(sized, targets, MIX_BLOCK_WORDS), _inner(docs)), docs, changed=True)
+    return _back(mixing.mixed_texts(mixing.mix(sized, targets, MIX_BLOCK_WORDS, scatter=False), _inner(docs)), docs, changed=True)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
