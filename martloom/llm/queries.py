@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm import best_fit_packing, chunk_dedup, graph_search, licenses, line_crf, merkle_manifest, mixing, periodic_runs, pieces, quality_qda, secrets, sharding, simhash
 from martloom.llm.common import table
+from martloom.llm.oracle import ORACLE_SQL  # noqa: F401  (part of the driver contract)
 from martloom.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +31,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sizes = stage(mixing.measured(docs).drop("text"), "mix-sizes")
     mixed = mixing.mix(sizes, mixing.source_targets(sizes))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "shard_words")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", F.array_join("shard_words", ",").alias("shard_words"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +58,8 @@ def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_report(table(spark, sf_dir, "documents"))
+    report = licenses.license_report(table(spark, sf_dir, "documents"))
+    return report.withColumn("method_labels", F.array_join("method_labels", ","))
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,3 @@ QUERIES: dict[str, Query] = {
         op11_merkle, op12_packing, op13_periodic_runs,
     )
 }
-
-# DuckDB SQL of the same results, where SQL can express them.
-ORACLE_SQL: dict[str, str] = {}
