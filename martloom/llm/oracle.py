@@ -3,7 +3,7 @@ spans overlap and cover each other by plain joins, blocks and documents by their
 
 from __future__ import annotations
 
-from martloom.llm import licenses, mixing, secrets
+from martloom.llm import licenses, merkle_manifest, mixing, secrets, sharding
 from martloom.llm.common import WORD
 
 
@@ -23,11 +23,11 @@ def _located(rows: str, key: str, columns: str) -> str:
     texts between them, laid end to end, give the places."""
     return f"""
       SELECT {key}, {columns}, hit, e - length(hit) AS s, e FROM (
-        SELECT {key}, {columns}, hits[i] AS hit,
-          CAST(sum(length(gaps[i]) + length(hits[i])) OVER (PARTITION BY {key}, {columns} ORDER BY i) AS BIGINT) AS e
+        SELECT {key}, {columns}, hit, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY {key}, {columns} ORDER BY i) AS BIGINT) AS e
         FROM (
-          SELECT {key}, {columns}, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM (
-            SELECT {key}, {columns}, regexp_extract_all(text, pattern) AS hits, string_split_regex(text, pattern) AS gaps FROM ({rows}))))"""
+          SELECT {key}, {columns}, unnest(range(1, len(gaps) + 1)) AS i, unnest(hits) AS hit, unnest(gaps) AS gap FROM (
+            SELECT {key}, {columns}, regexp_extract_all(text, pattern) AS hits, string_split_regex(text, pattern) AS gaps FROM ({rows})))
+        WHERE hit IS NOT NULL)"""
 
 
 def op1_secrets() -> str:
@@ -153,4 +153,89 @@ def op10_licenses() -> str:
     FROM docs LEFT JOIN based USING (r) LEFT JOIN ruled USING (r) LEFT JOIN labelled USING (r)"""
 
 
-ORACLE_SQL = {f.__name__: f() for f in (op1_secrets, op4_mixing, op10_licenses)}
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes, byte by byte over the table that the polynomial's rule gives."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ 0xEDB88320 * (byte & 1)
+        table.append(byte)
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    step = f"lambda c, b: xor(c >> 8, CAST({table} AS BIGINT[])[(xor(c, b) & 255) + 1])"
+    # A list made of a null one would hold the first value alone.
+    return f"CASE WHEN {text} IS NOT NULL THEN xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), {step}), 4294967295) END"
+
+
+def op7_feistel() -> str:
+    prime, walk = sharding._PRIME, "left_half * b + right_half"
+    halves = "SELECT {} FROM ({})"
+    step = "SELECT n, a, b, row_number, p // b AS left_half, p % b AS right_half FROM {}"
+    for i, (x, y, z) in enumerate(sharding.round_keys(7)):
+        of = "left_half" if i % 2 else "right_half"
+        mixed = f"((({of} + {x}) % {prime}) * (({of} + {x}) % {prime}) % {prime} * {y} + {z}) % {prime}"
+        left, right = ("left_half", f"(right_half + {mixed}) % b") if i % 2 else (f"(left_half + {mixed}) % a", "right_half")
+        step = halves.format(f"n, a, b, row_number, {left} AS left_half, {right} AS right_half", step)
+    step = f"SELECT n, a, b, row_number, {walk} AS p FROM ({step})"
+    return f"""
+    WITH RECURSIVE sized AS MATERIALIZED (
+      SELECT doc_id, CAST(coalesce(strlen(text), 0) + 8 AS BIGINT) AS size, {_crc32("text")} AS text_crc32 FROM documents),
+    numbered AS MATERIALIZED (
+      SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32 NULLS FIRST, size) - 1 AS row_number, count(*) OVER () AS n FROM sized),
+    sides AS (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM numbered),
+    grid AS (SELECT row_number, n, a, (n + a - 1) // a AS b, row_number AS p FROM sides),
+    walks AS ({step.format("grid")} UNION ALL {step.format("walks WHERE p >= n")})
+    SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % 24 AS INTEGER) AS shard, p // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM numbered JOIN walks USING (row_number) WHERE p < walks.n"""
+
+
+# Runs of three: enough levels for over half a million documents of a source, and as many sources.
+LEVELS = 12
+
+
+def _climb(tree: str, leaves: str) -> str:
+    """The levels over (tree, idx, digest, n) nodes, and of every level what stands beside each node in its run."""
+    out = [f"{tree}0 AS MATERIALIZED ({leaves})"]
+    for k in range(LEVELS):
+        beside = "string_agg(digest, '') OVER (PARTITION BY tree, idx // 3 ORDER BY idx ROWS BETWEEN {} AND {})"
+        before, after = beside.format("UNBOUNDED PRECEDING", "1 PRECEDING"), beside.format("1 FOLLOWING", "UNBOUNDED FOLLOWING")
+        out.append(f"{tree}_beside{k} AS MATERIALIZED (SELECT tree, idx, n, coalesce({before}, '') AS l, coalesce({after}, '') AS r FROM {tree}{k})")
+        up = "CASE WHEN n = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END"
+        out.append(f"{tree}{k + 1} AS MATERIALIZED (SELECT tree, idx // 3 AS idx, {up} AS digest, (n + 2) // 3 AS n FROM {tree}{k} GROUP BY tree, idx // 3, n)")
+    return ",\n    ".join(out)
+
+
+def _folds(tree: str, start: str) -> str:
+    """Of every (id, tree, idx, now, proof) row the digest folded up its tree, and the siblings met."""
+    out = [f"{tree}_fold0 AS MATERIALIZED ({start})"]
+    for k in range(LEVELS):
+        out.append(
+            f"{tree}_fold{k + 1} AS MATERIALIZED (SELECT id, f.tree, f.idx // 3 AS idx, CASE WHEN n = 1 THEN now ELSE sha256(l || now || r) END AS now, proof || l || r AS proof "
+            f"FROM {tree}_fold{k} f JOIN {tree}_beside{k} b ON b.tree = f.tree AND b.idx = f.idx)"
+        )
+    return ",\n    ".join(out)
+
+
+def op11_merkle() -> str:
+    def leaf(text: str) -> str:
+        values = [text if f == "text" else f"CAST({f} AS VARCHAR)" for f in merkle_manifest.FIELDS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    changed = f"text IS NOT NULL AND doc_id IS NOT NULL AND {_crc32('CAST(doc_id AS VARCHAR)')} % 2 = 0"
+    top = f"source{LEVELS}"
+    return f"""
+    WITH made AS MATERIALIZED (
+      SELECT row_number() OVER () AS id, doc_id, source, {leaf("text")} AS leaf, CASE WHEN {changed} THEN {leaf("replace(text, chr(10), '')")} END AS tampered
+      FROM documents),
+    rows AS MATERIALIZED (
+      SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS idx,
+        count(*) OVER (PARTITION BY source) AS n
+      FROM made),
+    {_climb("source", "SELECT tree, idx, leaf AS digest, n FROM rows")},
+    {_climb("top", f"SELECT 0 AS tree, tree AS idx, digest, count(*) OVER () AS n FROM {top}")},
+    {_folds("source", "SELECT id, tree, idx, coalesce(tampered, leaf) AS now, '' AS proof FROM rows")},
+    {_folds("top", f"SELECT id, 0 AS tree, tree AS idx, now, proof FROM source_fold{LEVELS}")}
+    SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = t.digest AS verified
+    FROM rows JOIN {top} s ON s.tree = rows.tree JOIN top_fold{LEVELS} f ON f.id = rows.id, top{LEVELS} t"""
+
+
+ORACLE_SQL = {f.__name__: f() for f in (op1_secrets, op4_mixing, op7_feistel, op10_licenses, op11_merkle)}

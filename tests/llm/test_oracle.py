@@ -42,7 +42,8 @@ def test_query_matches_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_awkward_rows_match_sql(spark, tmp_path, name):
     sources = ["a", "b", None, "é", "c"]
-    docs = [(i, sources[i % 5], text) for i, text in enumerate(TEXTS)] + [(3, "a", "word " * n) for n in (1, 70, 70, 900)] + [(None, "b", "x y")]
-    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = [(i, sources[i % 5], text) for i, text in enumerate(TEXTS)] + [(3, "a", "word " * n) for n in (1, 70, 70, 900)] + [(None, "b", "x\ny")]
+    full = [(*d, None if i % 3 else "en", None if i % 4 else i) for i, d in enumerate(docs)]
+    spark.createDataFrame(full, "doc_id bigint, source string, text string, lang string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     got, expected = sides(spark, name, str(tmp_path))
     assert got == expected
