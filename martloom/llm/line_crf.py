@@ -15,8 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from martloom.llm.common import staged_with_row
 from martloom.llm.quality_qda import held_out
 
 SAMPLE = 1000  # labelled documents per label that the chain is fitted on
@@ -141,20 +141,26 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> C
     their id, each with all its lines; held-out ids and documents of over LONGEST lines aside."""
     known = labels.where("quality in (0, 1)").select("doc_id", "quality").distinct().where(~held_out(F.col("doc_id")))
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
-    first = Window.partitionBy("quality").orderBy(order, "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample).select("doc_id", "quality")
+    of_label = [known.where(F.col("quality") == label).orderBy(order, "doc_id").limit(sample) for label in (0, 1)]
+    chosen = of_label[0].unionByName(of_label[1])
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: np.array([line_features(x) for x in lines_of(t)], dtype=np.float64).tobytes())
 
-    # Repeated ids could make more rows than were chosen, so the bound is set again on the rows.
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", order.alias("o"), features("text").alias("lines"))
     width = len(LINE_FEATURES)
-    n = F.length("lines") / F.lit(8 * width)
-    bounded = joined.withColumn("n", n).where(F.col("n").between(1, LONGEST)).orderBy("o", "lines").limit(2 * sample)
-    so_far = F.sum("n").over(Window.partitionBy("quality").orderBy("o", "lines").rowsBetween(Window.unboundedPreceding, 0))
-    rows = bounded.withColumn("so_far", so_far).where(F.col("so_far") <= FIT_LINES).orderBy("o", "lines").select("quality", "lines").collect()
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", order.alias("o"), features("text").alias("lines"))
+    n = (F.length("lines") / F.lit(8 * width)).cast("int")
+    found = staged_with_row(joined.withColumns({"n": n, "digest": F.md5("lines")}).where(F.col("n").between(1, LONGEST)), "crf-lines")
+    # Repeated ids could make more rows than were chosen, so the bound is set again on the rows, by their counts and digests.
+    narrow = found.select("quality", "o", "digest", "_row", "n").orderBy("o", "digest", "_row").limit(2 * sample).collect()
+    so_far, kept = {0: 0, 1: 0}, []
+    for r in narrow:
+        so_far[r["quality"]] += r["n"]
+        if so_far[r["quality"]] <= FIT_LINES:
+            kept.append(r["_row"])
+    rows = found.where(F.col("_row").isin(kept)).select("quality", "o", "lines").collect() if kept else []
+    rows = sorted(rows, key=lambda r: (r["o"], bytes(r["lines"])))
     return fit_chain([np.frombuffer(r["lines"]).reshape(-1, width) for r in rows], [r["quality"] for r in rows])
 
 
