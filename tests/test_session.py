@@ -34,3 +34,17 @@ def test_folder_bytes(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"12345")
     (tmp_path / "b").write_bytes(b"123")
     assert session.folder_bytes(spark, str(tmp_path)) == 8
+
+
+def test_tasks_are_kept_small_unless_the_session_says_otherwise(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = {n: spark.conf.get(n, None) for n in session.PREFERRED_SETTINGS}
+    try:
+        for n in before:
+            spark.conf.unset(n)
+        spark.conf.set(name, "4MB")
+        session.configure(spark)
+        assert {n: spark.conf.get(n) for n in before} == session.PREFERRED_SETTINGS | {name: "4MB"}
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
