@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -22,13 +23,26 @@ class Reference:
     other_unique: bool = False
 
 
+def _is_whole(rows: DataFrame, column: str) -> bool:
+    return isinstance(rows.schema[column].dataType, (T.IntegerType, T.LongType))
+
+
+def _unbroken_run(rows: DataFrame, key: str) -> Column:
+    """(lo, hi) of the positive keys if each number between them is a key, else NULL."""
+    value = F.col(key).cast("bigint")
+    lo, hi = F.min(value), F.max(value)
+    run = F.when(F.count_distinct(value) == hi - lo + 1, F.struct(lo.alias("lo"), hi.alias("hi")))
+    return rows.where(value > 0).agg(run.alias("run")).scalar()
+
+
 def dangling(references: Sequence[Reference], label: str = "item", count: str = "value") -> DataFrame:
     """Number of rows without a match for every reference, 0 included. A NULL key has no match.
 
     References that start from the same frame share one scan of it: its keys are turned into
     (reference, key) rows, which are counted before the shuffle, so a hot key crosses it as one row per
     task. All counts then meet all known keys, tagged by the frame they come from, in one anti join;
-    a frame that several references point to is read once.
+    a frame that several references point to is read once. Where the positive whole-number keys of a frame have no gap (as
+    surrogate keys; looked at first), a key between the smallest and the largest has a match and needs no join.
     """
     targets: dict[tuple[int, str], int] = {}
     starts: dict[int, list[Reference]] = {}
@@ -39,10 +53,19 @@ def dangling(references: Sequence[Reference], label: str = "item", count: str =
     def target(r: Reference) -> int:
         return targets[id(r.other), r.other_key]
 
+    runs = {target(r): _unbroken_run(r.other, r.other_key) for r in references if _is_whole(r.rows, r.key) and _is_whole(r.other, r.other_key)}
+
+    def open_key(r: Reference) -> Column:
+        """A reference's key as (name, target, key), or NULL where it is known to have a match."""
+        key = F.struct(F.lit(r.name).alias("_name"), F.lit(target(r)).alias("_target"), F.col(r.key).cast("string").alias("_key"))
+        if not _is_whole(r.rows, r.key) or target(r) not in runs:
+            return key
+        run = runs[target(r)]
+        return F.when(~F.coalesce(F.col(r.key).between(run["lo"], run["hi"]), F.lit(False)), key)
+
     counted = []
     for group in starts.values():
-        keys = [F.struct(F.lit(r.name).alias("_name"), F.lit(target(r)).alias("_target"), F.col(r.key).cast("string").alias("_key")) for r in group]
-        long = group[0].rows.select(F.inline(F.array(*keys)))
+        long = group[0].rows.select(F.inline(F.array_compact(F.array(*[open_key(r) for r in group]))))
         counted.append(long.groupBy("_name", "_target", "_key").agg(F.count("*").alias("_n")))
     known = []
     for r in {target(r): r for r in references}.values():

@@ -34,6 +34,16 @@ def test_empty_tables(make):
     assert dangling([Reference("a", make("a int", [(1,), (None,)]), "a", rows, "a")]).first()["value"] == 2
 
 
+def test_keys_of_an_unbroken_run_meet_no_join(make, operators):
+    """Gapless keys match by their bounds; a gap, a key below or above, NULL and the unknown member go on to the join."""
+    fact = make("a int, b long", [(1, 1), (2, 2), (3, 4), (4, 3), (None, None), (-1, -1), (-2, 9)])
+    gapless = make("a long", [(3,), (1,), (2,), (2,), (-1,), (None,)])
+    gap = make("b int", [(1,), (2,), (2,), (4,), (-1,)])  # as many rows as an unbroken 1 to 4 with the unknown member
+    got = dangling([Reference("a", fact, "a", gapless, "a"), Reference("b", fact, "b", gap, "b", other_unique=True)])
+    assert {r["item"]: r["value"] for r in got.collect()} == {"a": 3, "b": 3}
+    assert "array_compact" in operators(got) or "subquery" in operators(got).lower()
+
+
 @pytest.fixture
 def written(spark, monkeypatch):
     """Executed plans of everything the quality suite stages."""
