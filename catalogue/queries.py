@@ -56,6 +56,8 @@ REHEARSAL_DAYS = 30
 LOADED_AT = datetime(2002, 1, 1)
 ACCENTS = ("á", "ç", "é", "ã")
 MOMENT = "order_purchase_timestamp"
+# Bytes of rows as shuffled per byte of a compressed file, roughly.
+COMPRESSED = 8
 
 _marts: dict[tuple[str, str], Mart] = {}
 
@@ -64,7 +66,7 @@ def mart(spark: SparkSession, sf_dir: str) -> Mart:
     """The warehouse over a folder of driver tables, shared by the queries of a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
-        size_shuffles(spark, folder_bytes(spark, sf_dir))
+        size_shuffles(spark, COMPRESSED * folder_bytes(spark, sf_dir))
         _marts[key] = Mart(configure(spark), driver_feeds(spark, sf_dir), SELLERS_EFFECTIVE)
     return _marts[key]
 
@@ -675,6 +677,7 @@ def _write_csv(df: DataFrame, name: str) -> str:
     path = scratch_path(df.sparkSession, f"csv-{name}")
     (
         df.write.option("header", True)
+        .option("compression", "gzip")  # a file per task, so as many as the table has splits
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -707,6 +710,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, dict[str, int]
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored_marts:
         warehouse = Warehouse(spark, scratch_path(spark, "stored"))
+        size_shuffles(spark, COMPRESSED * folder_bytes(spark, sf_dir))
         rejected = load_staging(warehouse, _csv_feeds(spark, sf_dir))
         built = build_warehouse(warehouse, SELLERS_EFFECTIVE, LOADED_AT)
         run_quality_checks(warehouse, built, LOADED_AT)

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from catalogue import queries
 from catalogue.queries import CATALOGUE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -47,3 +48,10 @@ def test_query_matches_sql(spark, duck, name):
 def test_contract(spark):
     assert set(CATALOGUE) <= set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).columns == ["category_en", "items", "revenue", "freight", "freight_share"]
+
+
+def test_csv_feeds_are_written_compressed(spark):
+    path = queries._write_csv(spark.range(3), "numbers")
+    files = spark.read.text(path).inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert sorted(r[0] for r in spark.read.option("header", True).csv(path).collect()) == ["0", "1", "2"]
