@@ -602,7 +602,7 @@ class Interrupted(RuntimeError):
 def _item_files(spark: SparkSession, sf_dir: str, folder: str) -> int:
     """The line items as files, the returned ones delivered twice; gives the number of files of a third of them."""
     lines = driver_reader(spark, sf_dir)("lineitem")
-    lines.repartition(max(3, lines.rdd.getNumPartitions())).write.parquet(folder)
+    (lines if lines.rdd.getNumPartitions() >= 3 else lines.repartition(3)).write.parquet(folder)
     lines.where("l_returnflag = 'R'").write.mode("append").parquet(folder)
     return -(-len(spark.read.parquet(folder).inputFiles()) // 4)
 
@@ -624,7 +624,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise Interrupted("after batch 1 was written, before the stream took note of it")
 
     def run() -> None:
-        items = order_items(lambda table: file_stream(spark, folder, schema, files))
+        items = order_items(lambda table: file_stream(spark, folder, schema, files)).select(*facts.ITEM_COLUMNS)
         stream_fact(items, m.item_batch_plan, warehouse, ITEM_FACT, progress, after_write=interrupt)
 
     try:

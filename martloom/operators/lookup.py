@@ -63,10 +63,13 @@ def require_unique(rows: DataFrame, keys: Sequence[str], table: str) -> DataFram
 def one_per_key(rows: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
     """One row per key: the greatest by ``prefer``, then by all other columns, so the choice never depends on their order.
 
-    A maximum combines map-side, so a key repeated very often is no hot task. NULL keys are keys here."""
-    order = [*prefer, *[c for c in rows.columns if c not in prefer]]
-    best = rows.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(F.max(F.struct(*order)).alias("_best"))
-    return best.select(*[F.col(f"_best.{c}").alias(c) for c in rows.columns])
+    A maximum combines map-side, so a key repeated very often is no hot task; the key, the same in all rows compared, is
+    shuffled once. NULL keys are keys here."""
+    order = [c for c in [*prefer, *[c for c in rows.columns if c not in prefer]] if c not in keys]
+    if not order:
+        return rows.distinct()
+    best = rows.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in rows.columns])
 
 
 def settle_repeats(rows: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:

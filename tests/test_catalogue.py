@@ -55,3 +55,17 @@ def test_csv_feeds_are_written_compressed(spark):
     files = spark.read.text(path).inputFiles()
     assert files and all(f.endswith(".csv.gz") for f in files)
     assert sorted(r[0] for r in spark.read.option("header", True).csv(path).collect()) == ["0", "1", "2"]
+
+
+def test_item_files_are_not_shuffled_where_the_table_has_parts_enough(spark, tmp_path, monkeypatch):
+    """Each line once and the returned ones twice, in the files the scan makes."""
+    lines = spark.range(0, 40, 1, 4).selectExpr("id", "if(id % 4 = 0, 'R', 'N') l_returnflag")
+    few = []
+    monkeypatch.setattr(queries, "driver_reader", lambda *_: lambda table: few[-1])
+    monkeypatch.setattr(type(lines), "repartition", lambda *a: few.append("shuffled") or split(*a)) if (split := type(lines).repartition) else None
+    for frame, shuffled in ((lines, False), (lines.coalesce(1), True)):
+        few.append(frame)
+        folder = str(tmp_path / str(shuffled))
+        queries._item_files(spark, "", folder)
+        assert ("shuffled" in few) == shuffled
+        assert sorted(r[0] for r in spark.read.parquet(folder).select("id").collect()) == sorted([*range(40), *range(0, 40, 4)])

@@ -23,6 +23,14 @@ def test_one_row_per_key(make, collect):
     assert repeated is None and kept.count() == 3
 
 
+def test_the_key_is_shuffled_once(make, operators):
+    rows = make("k string, t int, v string", [("a", 1, "x"), ("a", 2, None), (None, 3, "y")])
+    best = one_per_key(rows, ["k"], ["t"])
+    assert best.columns == ["k", "t", "v"] and sorted(map(tuple, best.collect()), key=repr) == [("a", 2, None), (None, 3, "y")]
+    assert "named_struct(k" not in best._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, one_per_key(rows.select("k"), ["k"]).collect()), key=repr) == [("a",), (None,)]
+
+
 @pytest.fixture(scope="module")
 def doubled(spark):
     """Every order and customer twice, the second time with another status and place."""
