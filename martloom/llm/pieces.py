@@ -12,7 +12,7 @@ loop in the task that puts the texts together.
 Words are counted over all texts, and those used most, as many as FREQUENT_WORDS, go on the lattice once for the
 whole corpus. Their ids are a table of bounded size, so tasks get it by broadcast and put the texts together
 where they are read: no text is shuffled. Other words are encoded where they are met, by the same rule
-over the same piece table; a corpus with fewer distinct words has all of them on the lattice.
+over the same piece table, all new ones of a slice of rows together; a corpus with fewer distinct words has all of them on the lattice.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ LATTICE_CHARS = 62
 FREQUENT_WORDS = 1 << 17
 # Words that a task counts, or remembers besides the frequent ones, before it starts anew.
 HELD_WORDS = 1 << 16
+# Words that are merged together; with more of them the arrays leave the CPU's cache.
+MERGED_WORDS = 1 << 13
 # Rows that a task holds as Python objects at once.
 SLICE_ROWS = 256
 # Bytes of the rows that Spark hands to a task at once (its own limit of 64 MB holds many such slices).
@@ -214,19 +216,81 @@ def merge_edges(word: str, edges: list[int], single) -> list[int]:
     return [j for at in range(len(word)) if points >> at & 1 for j in ([merged[at]] if at in merged else single(word[at]))]
 
 
-def merge_pairs(word: str, place: dict[str, int], ident: dict[str, int], single) -> list[int]:
-    """Ids of a short word by merging the neighbours of best place, leftmost on a tie."""
-    parts, none = list(word), len(place)
-    pairs = [place.get(a + b, none) for a, b in zip(parts, parts[1:])]
-    while pairs and (best := min(pairs)) < none:
-        i = pairs.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
-        if i:
-            pairs[i - 1] = place.get(parts[i - 1] + parts[i], none)
-        if i < len(pairs):
-            pairs[i] = place.get(parts[i] + parts[i + 1], none)
-    return [j for p in parts for j in ([ident[p]] if p in ident else single(p))]
+@dataclass(frozen=True)
+class Merges:
+    """Which neighbours merge, as numbers. A symbol is a piece's id or, from ``pieces`` on, a character that is only
+    part of pieces; the last one, ``width - 1``, stands for all other characters and merges with nothing."""
+
+    pieces: int
+    width: int
+    chars: np.ndarray  # code points, ascending
+    symbols: np.ndarray  # of chars
+    pairs: np.ndarray  # left symbol * width + right symbol, ascending
+    places: np.ndarray  # of pairs in merge order
+    merged: np.ndarray  # symbols that pairs become
+    none: int  # the place of pairs that do not merge
+
+
+def merges(table: Pieces) -> Merges:
+    place = {p: (at, i) for p, i, at in table.rows()}
+    symbol = {p: i for p, (_, i) in place.items()}
+    for char in sorted({c for p in place for c in p} - symbol.keys()):
+        symbol[char] = len(table.pieces) + len(symbol) - len(place)
+    width = len(table.pieces) + len(symbol) - len(place) + 1
+    pairs = [(symbol[p[:k]] * width + symbol[p[k:]], at, i) for p, (at, i) in place.items() for k in range(1, len(p)) if p[:k] in symbol and p[k:] in symbol]
+    chars = sorted((ord(c), i) for c, i in symbol.items() if len(c) == 1)
+    # Each list ends with an entry that no text meets, so that a search always finds a place.
+    keys, places, merged = np.array([*sorted(pairs), (width * width, 0, 0)], dtype=np.int64).T
+    codes, symbols = np.array([*chars, (0x110000, 0)], dtype=np.int64).T
+    return Merges(len(table.pieces), width, codes, symbols, keys, places, merged, len(place))
+
+
+def merge_words(words: list[str], by: Merges, single) -> list[bytes]:
+    """Ids (four bytes each) of many short words. In every round each word merges its neighbours of best place,
+    leftmost on a tie; words without any leave."""
+    text = "".join(words)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    if not len(codes):
+        return [b""] * len(words)
+
+    def found(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = left * by.width + right
+        i = np.searchsorted(by.pairs, keys)
+        return np.where(by.pairs[i] == keys, by.places[i], by.none), by.merged[i]
+
+    i = np.searchsorted(by.chars, codes)
+    symbols = np.where(by.chars[i] == codes, by.symbols[i], by.width - 1)
+    word_at = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    at, word = np.arange(len(codes)), word_at
+    place, into = found(symbols, np.append(symbols[1:], by.width - 1))
+    place[:-1][word[1:] != word[:-1]] = by.none
+    left = []
+    while n := len(symbols):
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        best = np.minimum.reduceat(place * n + np.arange(n), first)
+        merging = best < by.none * n
+        kept = np.repeat(merging, np.diff(np.append(first, n)))
+        left.append((at[~kept], symbols[~kept]))
+        i = best[merging] % n
+        symbols[i] = into[i]
+        kept[i + 1] = False
+        i = np.cumsum(kept)[i] - 1
+        at, symbols, word, place, into = (x[kept] for x in (at, symbols, word, place, into))
+        if len(i):
+            near = np.append(i, i[i > 0] - 1)
+            after = np.minimum(near + 1, len(symbols) - 1)
+            places, into[near] = found(symbols[near], symbols[after])
+            place[near] = np.where((after > near) & (word[near] == word[after]), places, by.none)
+    at, symbols = (np.concatenate(x) for x in zip(*left))
+    order = np.argsort(at)
+    at, symbols = at[order], symbols[order]
+    ends = np.append(0, np.cumsum(np.bincount(word_at[at], minlength=len(words))))
+    data = symbols.astype(np.int32).tobytes()
+    out = [data[4 * a : 4 * b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+    for w in np.unique(word_at[at[symbols >= by.pieces]]).tolist():
+        parts = zip(at[ends[w] : ends[w + 1]].tolist(), symbols[ends[w] : ends[w + 1]].tolist())
+        out[w] = np.array([j for a, s in parts for j in ([s] if s < by.pieces else single(text[a]))], dtype=np.int32).tobytes()
+    return out
 
 
 def encode_long(word: str, rank: dict[str, tuple[float, int]], fallback, unigram: bool, longest: int) -> list[int]:
@@ -270,7 +334,7 @@ def encode_long(word: str, rank: dict[str, tuple[float, int]], fallback, unigram
 
 
 def _encoders(table: Pieces):
-    """What tasks need of the table: a way to encode any word, and one for a single character."""
+    """What tasks need of the table: a way to encode any words, and one for a single character."""
     rank = {p: (r, i) for i, (p, r, ok) in enumerate(zip(table.pieces, table.rank, table.normal)) if ok}
     base, unknown, unigram, longest = table.byte_base, table.unknown, table.unigram, table.longest
 
@@ -280,13 +344,15 @@ def _encoders(table: Pieces):
     def single(char: str) -> list[int]:
         return [rank[char][1]] if char in rank else fallback(char)
 
-    place = {p: at for p, _, at in table.rows()}
-    ident = {p: i for p, i, _ in table.rows()}
+    by = None if unigram else merges(table)
 
-    def rest(word: str) -> list[int]:
-        if unigram or len(word) > LATTICE_CHARS:
-            return encode_long(word, rank, fallback, unigram, longest)
-        return merge_pairs(word, place, ident, single)
+    def rest(words: list[str]) -> list[bytes]:
+        apart = [w for w in words if unigram or len(w) > LATTICE_CHARS]
+        ids = {w: np.array(encode_long(w, rank, fallback, unigram, longest), dtype=np.int32).tobytes() for w in apart}
+        short = [w for w in words if w not in ids]
+        if short:
+            ids.update(zip(short, merge_words(short, by, single)))
+        return [ids[w] for w in words]
 
     return rest, single
 
@@ -363,16 +429,14 @@ def word_ids(words: DataFrame, table: Pieces) -> DataFrame:
 def _assemble(keep: list[str], known: Broadcast, rest):
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, met = known.value, {}
-
-        def other(word: str) -> bytes:
-            if word not in met:
-                if len(met) >= HELD_WORDS:
-                    met.clear()
-                met[word] = np.array(rest(word), dtype=np.int32).tobytes()
-            return met[word]
-
         for batch in _slices(batches):
-            rows = [b"".join([ids[w] if w in ids else other(w) for w in words_of(t)]) for t in batch.column("text").to_pylist()]
+            texts = [words_of(t) for t in batch.column("text").to_pylist()]
+            if len(met) >= HELD_WORDS:
+                met.clear()
+            new = list({w for words in texts for w in words if w not in ids and w not in met})
+            for i in range(0, len(new), MERGED_WORDS):
+                met.update(zip(new[i : i + MERGED_WORDS], rest(new[i : i + MERGED_WORDS])))
+            rows = [b"".join([ids[w] if w in ids else met[w] for w in words]) for words in texts]
             ends = np.cumsum([0, *map(len, rows)]) // 4
             lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
             kept = [batch.column(i) for i in range(len(keep))]

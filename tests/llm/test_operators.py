@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -315,6 +316,39 @@ def test_words_are_cut_alike(text):
     assert [w for w in pieces.words_of(text) if w] == pieces._WORDS.findall("▁" + text.replace(" ", "▁"))
 
 
+def test_words_are_merged_together_as_one_by_one():
+    names = ["<unk>", "a", "b", "ab", "ba", "aa", "aba", "bab", "abab", "ü", "aüx"]
+    table = pieces.Pieces(names, [0.0, 9, 9, 1, 1, 2, 2, 1, 3, 9, 0], [False] + [True] * 10, -1, 0, False)
+    place = {p: at for p, _, at in table.rows()}
+    rest, _ = pieces._encoders(table)
+
+    def plain(word):
+        parts = list(word)
+        while found := [(place[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in place]:
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [names.index(p) if p in place else 0 for p in parts]
+
+    rng = np.random.default_rng(4)
+    many = ["", "a", "z", "aüx", "😀a", *{"".join(rng.choice(list("aabbüxz😀"), size=n)) for n in rng.integers(0, 40, size=400)}]
+    assert [np.frombuffer(ids, dtype=np.int32).tolist() for ids in rest(many)] == [plain(w) for w in many]
+    assert rest([]) == [] and rest(["", "\0"]) == [b"", np.int32(0).tobytes()]
+
+
+def test_new_words_of_a_slice_are_encoded_together():
+    calls = []
+
+    def rest(words):
+        calls.append(len(words))
+        return [np.int32(len(w)).tobytes() for w in words]
+
+    known = type("Known", (), {"value": {"▁a": np.int32(7).tobytes()}})
+    batch = pa.RecordBatch.from_pydict({"text": ["a bb ccc", None, "bb dddd", "", "eeeee a"]})
+    out = list(pieces._assemble([], known, rest)([batch]))
+    assert [r for b in out for r in b.column("ids").to_pylist()] == [[7, 3, 4], [], [3, 5], [], [6, 7]]
+    assert calls == [4]
+
+
 def test_unigram_fold_is_viterbi(make):
     names = ["<unk>", "▁", "a", "b", "ab", "▁a", "ba", "aba"]
     cost = [9.0, 2.0, 2.5, 2.0, 3.1, 3.0, 3.9, 5.0]
